@@ -58,10 +58,10 @@ def stream_silver_prices(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def stream_fundamentals_dedup(spark: SparkSession, sf: str) -> DataFrame:
-    """The second delivery repeats the last day of the first."""
+    """The second delivery repeats the last month of the first."""
     lake = Lakehouse(shared_folder(spark, "dedup"))
     rows = view(spark, sf, views.FUNDAMENTALS)
-    for part in (f"extract_time < {_FUND_CUT}", f"extract_time >= {_FUND_CUT} - INTERVAL 1 DAY"):
+    for part in (f"extract_time < {_FUND_CUT}", f"extract_time >= {_FUND_CUT} - INTERVAL 1 MONTH"):
         _store(rows.filter(part), lake, "bronze.fundamentals")
         silver.refine_fundamentals(spark, lake)
     return rounded(_stored(spark, lake, "silver.fundamentals"))

@@ -51,7 +51,8 @@ SELECT concat('C', c_custkey) AS symbol, c_name AS "shortName", c_mktsegment AS
 FROM {customer}
 """
 
-# One snapshot of a customer per order day; orders of one day give copies, debtors lack a name.
+# A snapshot of a customer at the start of each month, once per order; several orders of a month
+# give copies, debtors lack a name.
 FUNDAMENTALS = """
 SELECT concat('C', c_custkey) AS symbol, CASE WHEN c_acctbal >= 0 THEN c_name END AS "shortName",
   c_mktsegment AS sector, CAST(NULL AS STRING) AS industry, n_name AS country, 'USD' AS currency,
@@ -64,10 +65,10 @@ SELECT concat('C', c_custkey) AS symbol, CASE WHEN c_acctbal >= 0 THEN c_name EN
   c_acctbal / 400 AS "forwardPE", c_acctbal / 800 AS "trailingEps", c_acctbal / 700 AS "forwardEps",
   c_acctbal / 30000 AS "returnOnAssets", c_acctbal / 15000 AS "returnOnEquity",
   c_acctbal / 60000 AS "earningsQuarterlyGrowth", CAST(NULL AS STRING) AS "ipoExpectedDate",
-  CAST(o_orderdate AS TIMESTAMP) AS extract_time, CAST(o_orderdate AS DATE) AS extract_date,
-  CAST(year(o_orderdate) AS INT) AS year, CAST(month(o_orderdate) AS INT) AS month,
-  CAST(day(o_orderdate) AS INT) AS day
-FROM {orders} JOIN {customer} ON o_custkey = c_custkey JOIN {nation} ON c_nationkey = n_nationkey
+  CAST(taken AS TIMESTAMP) AS extract_time, CAST(taken AS DATE) AS extract_date,
+  CAST(year(taken) AS INT) AS year, CAST(month(taken) AS INT) AS month, CAST(day(taken) AS INT) AS day
+FROM (SELECT o_custkey, date_trunc('month', o_orderdate) AS taken FROM {orders}) AS snapshots
+JOIN {customer} ON o_custkey = c_custkey JOIN {nation} ON c_nationkey = n_nationkey
 """
 
 DOC_LABELS = """
