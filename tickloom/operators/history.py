@@ -11,20 +11,21 @@ from collections.abc import Sequence
 from datetime import date, timedelta
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from tickloom.functions.times import in_months
 
-NEWEST_FIRST = Window.partitionBy("symbol").orderBy(F.col("date").desc())
+
+def newest_first(ts_col: str = "date") -> WindowSpec:
+    return Window.partitionBy("symbol").orderBy(F.col(ts_col).desc())
 
 
 def history_slice(bars: DataFrame, as_of: date, lookback_days: int = 90, ts_col: str = "date") -> DataFrame:
     """Bars of the last ``lookback_days`` up to and including ``as_of``, ranked newest first."""
     start = as_of - timedelta(days=lookback_days)
     recent = bars.filter(in_months(start, as_of) & F.col(ts_col).between(F.lit(start), F.lit(as_of)))
-    newest = Window.partitionBy("symbol").orderBy(F.col(ts_col).desc())
-    return recent.withColumn("rn", F.row_number().over(newest))
+    return recent.withColumn("rn", F.row_number().over(newest_first(ts_col)))
 
 
 def latest_row(table: DataFrame, as_of: date, within_days: int = 5, ts_col: str = "date") -> DataFrame:
@@ -49,7 +50,7 @@ def join_prev_state(rows: DataFrame, state: DataFrame) -> DataFrame:
 
 def price_diff(bars: DataFrame) -> DataFrame:
     """Price of a day minus the price of the next newer day; NULL on the newest."""
-    newer = F.lag("avg_price").over(NEWEST_FIRST)
+    newer = F.lag("avg_price").over(newest_first())
     return bars.withColumn("price_diff", F.col("avg_price") - newer)
 
 
@@ -61,7 +62,7 @@ def signed_volume(diff: Column, volume: Column) -> Column:
 def obv_running(bars: DataFrame) -> DataFrame:
     """Running signed volume from the newest day backwards."""
     changed = price_diff(bars).withColumn("obv_change", signed_volume(F.col("price_diff"), F.col("volume")))
-    total = F.sum("obv_change").over(NEWEST_FIRST.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    total = F.sum("obv_change").over(newest_first().rowsBetween(Window.unboundedPreceding, Window.currentRow))
     return changed.withColumn("obv", total)
 
 

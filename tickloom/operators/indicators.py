@@ -18,7 +18,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from tickloom.operators.history import join_prev_state
@@ -33,12 +33,15 @@ MAX_GAP_DAYS = 5
 
 ORDERS = ("newest_first", "oldest_first")
 
-_BY_DAY = Window.partitionBy("symbol").orderBy(F.col("_day"))
 _HELPERS = ("_day", "_move", "_flow", "_bars")
 
 
-def _newest(n: int) -> Window:
-    return _BY_DAY.rowsBetween(1 - n, Window.currentRow)
+def _by_day() -> WindowSpec:
+    return Window.partitionBy("symbol").orderBy("_day")
+
+
+def _newest(n: int) -> WindowSpec:
+    return _by_day().rowsBetween(1 - n, Window.currentRow)
 
 
 def _weight(window: int) -> float:
@@ -47,18 +50,18 @@ def _weight(window: int) -> float:
 
 def _prepare(bars: DataFrame, lookback_days: int) -> DataFrame:
     """Add the day number, the move and the signed volume up to the next bar, and bars in range."""
-    move = F.lead("avg_price").over(_BY_DAY) - F.col("avg_price")
+    move = F.lead("avg_price").over(_by_day()) - F.col("avg_price")
     return bars.withColumn("_day", F.unix_date("date")).withColumns(
         {
             "_move": F.coalesce(move, F.lit(0.0)),
-            "_flow": F.coalesce(F.signum(move) * F.lead("volume").over(_BY_DAY), F.lit(0.0)),
-            "_bars": F.count(F.lit(1)).over(_BY_DAY.rangeBetween(-lookback_days, 0)),
+            "_flow": F.coalesce(F.signum(move) * F.lead("volume").over(_by_day()), F.lit(0.0)),
+            "_bars": F.count(F.lit(1)).over(_by_day().rangeBetween(-lookback_days, 0)),
         }
     )
 
 
 def _sma(windows: Sequence[int], lookback_days: int) -> dict[str, Column]:
-    in_range = F.avg("avg_price").over(_BY_DAY.rangeBetween(-lookback_days, 0))
+    in_range = F.avg("avg_price").over(_by_day().rangeBetween(-lookback_days, 0))
     return {
         f"ma_{n}": F.when(F.col("_bars") >= n, F.avg("avg_price").over(_newest(n))).otherwise(in_range)
         for n in windows
@@ -72,8 +75,8 @@ def _rsi(windows: Sequence[int], lookback_days: int, order: str) -> dict[str, Co
     def total(part: Column, n: int) -> Column:
         if n < 2:
             return F.lit(0.0)
-        newest = F.sum(part).over(_BY_DAY.rowsBetween(1 - n, -1))
-        in_range = F.sum(part).over(_BY_DAY.rangeBetween(-lookback_days, -1))
+        newest = F.sum(part).over(_by_day().rowsBetween(1 - n, -1))
+        in_range = F.sum(part).over(_by_day().rangeBetween(-lookback_days, -1))
         return F.coalesce(F.when(F.col("_bars") >= n, newest).otherwise(in_range), F.lit(0.0))
 
     # The averages divide both sums by n, which leaves their ratio as it is.
@@ -101,7 +104,7 @@ def _obv(lookback_days: int, order: str) -> dict[str, Column]:
     if order == "newest_first":
         # The running sum starts at the newest bar, which has no newer bar to differ from.
         return {"obv": F.lit(0.0)}
-    flow = F.sum("_flow").over(_BY_DAY.rangeBetween(-lookback_days, -1))
+    flow = F.sum("_flow").over(_by_day().rangeBetween(-lookback_days, -1))
     return {"obv": F.coalesce(flow, F.lit(0.0))}
 
 
