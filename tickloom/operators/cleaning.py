@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tickloom.functions import buckets
 from tickloom.functions.casts import whole_number
-from tickloom.schemas import FUNDAMENTALS_AMOUNTS, FUNDAMENTALS_FEED, FUNDAMENTALS_KEY, PRICE_KEY
+from tickloom.schemas import FUNDAMENTALS_AMOUNTS, FUNDAMENTALS_FEED, FUNDAMENTALS_KEY, PRICE_FEED, PRICE_KEY
 
 # Field names of a fetched price snapshot and the columns they fill.
 SNAPSHOT_FIELDS = {
@@ -61,7 +61,10 @@ def order_columns(df: DataFrame, preferred: Sequence[str] = tuple(FUNDAMENTALS_F
 def normalize_snapshot(df: DataFrame, fields: Mapping[str, str] = SNAPSHOT_FIELDS) -> DataFrame:
     """Map fetched field names to column names; a field that was not delivered is NULL."""
     return df.select(
-        *[(F.col(f) if f in df.columns else F.lit(None)).alias(c) for f, c in fields.items()]
+        *[
+            (F.col(f) if f in df.columns else F.lit(None).cast(PRICE_FEED[c].dataType)).alias(c)
+            for f, c in fields.items()
+        ]
     )
 
 

@@ -33,79 +33,93 @@ MAX_GAP_DAYS = 5
 
 ORDERS = ("newest_first", "oldest_first")
 
-_HELPERS = ("_day", "_move", "_flow", "_bars")
-
-
 def _by_day() -> WindowSpec:
     return Window.partitionBy("symbol").orderBy("_day")
 
 
-def _newest(n: int) -> WindowSpec:
-    return _by_day().rowsBetween(1 - n, Window.currentRow)
-
-
 def _weight(window: int) -> float:
     return 2 / (window + 1)
 
 
-def _prepare(bars: DataFrame, lookback_days: int) -> DataFrame:
-    """Add the day number, the move and the signed volume up to the next bar, and bars in range."""
-    move = F.lead("avg_price").over(_by_day()) - F.col("avg_price")
-    return bars.withColumn("_day", F.unix_date("date")).withColumns(
-        {
-            "_move": F.coalesce(move, F.lit(0.0)),
-            "_flow": F.coalesce(F.signum(move) * F.lead("volume").over(_by_day()), F.lit(0.0)),
-            "_bars": F.count(F.lit(1)).over(_by_day().rangeBetween(-lookback_days, 0)),
-        }
-    )
+class _Lookback:
+    """Windowed values of one pass over the bars, and the indicators made from them.
 
+    Every frame is computed once, in ``frames``, however many indicators use it.
+    """
 
-def _sma(windows: Sequence[int], lookback_days: int) -> dict[str, Column]:
-    in_range = F.avg("avg_price").over(_by_day().rangeBetween(-lookback_days, 0))
-    return {
-        f"ma_{n}": F.when(F.col("_bars") >= n, F.avg("avg_price").over(_newest(n))).otherwise(in_range)
-        for n in windows
-    }
-
-
-def _rsi(windows: Sequence[int], lookback_days: int, order: str) -> dict[str, Column]:
-    rise, fall = F.greatest("_move", F.lit(0.0)), F.greatest(-F.col("_move"), F.lit(0.0))
-    gain, loss = (fall, rise) if order == "newest_first" else (rise, fall)
-
-    def total(part: Column, n: int) -> Column:
+    def __init__(self, windows: Sequence[int], lookback_days: int, order: str = "newest_first"):
+        if order not in ORDERS:
+            raise ValueError(f"order must be one of {ORDERS}, not {order!r}")
+        self.windows, self.days, self.order = windows, lookback_days, order
+        self.frames: dict[str, Column] = {}
+        self.out: dict[str, Column] = {}
+
+    def _frame(self, name: str, value: Column, window: WindowSpec) -> Column:
+        self.frames[name] = value.over(window)
+        return F.col(name)
+
+    def _newest(self, n: int, name: str, value: Column) -> Column:
+        """Aggregate over the newest n bars."""
+        return self._frame(f"{name}_{n}", value, _by_day().rowsBetween(1 - n, Window.currentRow))
+
+    def sma(self) -> _Lookback:
+        in_range = self._frame("_mean", F.avg("avg_price"), _by_day().rangeBetween(-self.days, 0))
+        for n in self.windows:
+            newest = self._newest(n, "_mean", F.avg("avg_price"))
+            self.out[f"ma_{n}"] = F.when(F.col("_bars") >= n, newest).otherwise(in_range)
+        return self
+
+    def rsi(self) -> _Lookback:
+        rise, fall = F.greatest("_move", F.lit(0.0)), F.greatest(-F.col("_move"), F.lit(0.0))
+        parts = {"_gain": rise, "_loss": fall}
+        if self.order == "newest_first":
+            parts = {"_gain": fall, "_loss": rise}
+        for n in self.windows:
+            gain, loss = (self._moves(n, name, part) for name, part in parts.items())
+            # The averages divide both sums by n, which leaves their ratio as it is.
+            strength = 100 - 100 / (1 + gain / loss)
+            self.out[f"rsi_{n}"] = F.when(loss == 0, F.lit(100.0)).otherwise(strength)
+        return self
+
+    def _moves(self, n: int, name: str, part: Column) -> Column:
+        """Sum over the moves between the newest n bars in range."""
+        in_range = self._frame(name, F.sum(part), _by_day().rangeBetween(-self.days, -1))
         if n < 2:
             return F.lit(0.0)
-        newest = F.sum(part).over(_by_day().rowsBetween(1 - n, -1))
-        in_range = F.sum(part).over(_by_day().rangeBetween(-lookback_days, -1))
+        newest = self._frame(f"{name}_{n}", F.sum(part), _by_day().rowsBetween(1 - n, -1))
         return F.coalesce(F.when(F.col("_bars") >= n, newest).otherwise(in_range), F.lit(0.0))
 
-    # The averages divide both sums by n, which leaves their ratio as it is.
-    return {
-        f"rsi_{n}": F.when(total(loss, n) == 0, F.lit(100.0)).otherwise(
-            100 - 100 / (1 + total(gain, n) / total(loss, n))
+    def bollinger(self) -> _Lookback:
+        for n in self.windows:
+            enough = F.col("_bars") >= n
+            mean = self._newest(n, "_mean", F.avg("avg_price"))
+            spread = 2 * self._newest(n, "_dev", F.stddev_samp("avg_price"))
+            self.out[f"bb_upper_{n}"] = F.when(enough, mean + spread)
+            self.out[f"bb_lower_{n}"] = F.when(enough, mean - spread)
+            self.out[f"bb_width_{n}"] = F.when(enough, (mean + spread) - (mean - spread))
+        return self
+
+    def obv(self) -> _Lookback:
+        if self.order == "newest_first":
+            # The running sum starts at the newest bar, which has no newer bar to differ from.
+            self.out["obv"] = F.lit(0.0)
+        else:
+            flow = self._frame("_flows", F.sum("_flow"), _by_day().rangeBetween(-self.days, -1))
+            self.out["obv"] = F.coalesce(flow, F.lit(0.0))
+        return self
+
+    def apply(self, bars: DataFrame) -> DataFrame:
+        """Bars with the indicators and the day number ``_day``."""
+        move = F.lead("avg_price").over(_by_day()) - F.col("avg_price")
+        helpers = {
+            "_move": F.coalesce(move, F.lit(0.0)),
+            "_flow": F.coalesce(F.signum(move) * F.lead("volume").over(_by_day()), F.lit(0.0)),
+            "_bars": F.count(F.lit(1)).over(_by_day().rangeBetween(-self.days, 0)),
+        }
+        prepared = bars.withColumn("_day", F.unix_date("date")).withColumns(helpers)
+        return prepared.withColumns(self.frames).select(
+            *bars.columns, "_day", *[column.alias(name) for name, column in self.out.items()]
         )
-        for n in windows
-    }
-
-
-def _bollinger(windows: Sequence[int]) -> dict[str, Column]:
-    columns = {}
-    for n in windows:
-        enough = F.col("_bars") >= n
-        mean = F.avg("avg_price").over(_newest(n))
-        spread = 2 * F.stddev_samp("avg_price").over(_newest(n))
-        columns[f"bb_upper_{n}"] = F.when(enough, mean + spread)
-        columns[f"bb_lower_{n}"] = F.when(enough, mean - spread)
-        columns[f"bb_width_{n}"] = F.when(enough, (mean + spread) - (mean - spread))
-    return columns
-
-
-def _obv(lookback_days: int, order: str) -> dict[str, Column]:
-    if order == "newest_first":
-        # The running sum starts at the newest bar, which has no newer bar to differ from.
-        return {"obv": F.lit(0.0)}
-    flow = F.sum("_flow").over(_by_day().rangeBetween(-lookback_days, -1))
-    return {"obv": F.coalesce(flow, F.lit(0.0))}
 
 
 def _smoothed(
@@ -125,14 +139,9 @@ def _smoothed(
     return done.drop(*MARKS)
 
 
-def _check_order(order: str) -> None:
-    if order not in ORDERS:
-        raise ValueError(f"order must be one of {ORDERS}, not {order!r}")
-
-
 def sma(bars: DataFrame, windows: Sequence[int] = WINDOWS, lookback_days: int = LOOKBACK_DAYS) -> DataFrame:
     """Mean of the newest n prices in range, or of all of them if there are fewer."""
-    return _prepare(bars, lookback_days).withColumns(_sma(windows, lookback_days)).drop(*_HELPERS)
+    return _Lookback(windows, lookback_days).sma().apply(bars).drop("_day")
 
 
 def rsi(
@@ -142,21 +151,19 @@ def rsi(
     lookback_days: int = LOOKBACK_DAYS,
 ) -> DataFrame:
     """Relative strength from plain sums of gains and losses; 100 where there is no loss."""
-    _check_order(order)
-    return _prepare(bars, lookback_days).withColumns(_rsi(windows, lookback_days, order)).drop(*_HELPERS)
+    return _Lookback(windows, lookback_days, order).rsi().apply(bars).drop("_day")
 
 
 def bollinger(
     bars: DataFrame, windows: Sequence[int] = WINDOWS, lookback_days: int = LOOKBACK_DAYS
 ) -> DataFrame:
     """Mean plus and minus two sample deviations; NULL with fewer than n prices in range."""
-    return _prepare(bars, lookback_days).withColumns(_bollinger(windows)).drop(*_HELPERS)
+    return _Lookback(windows, lookback_days).bollinger().apply(bars).drop("_day")
 
 
 def obv(bars: DataFrame, order: str = "newest_first", lookback_days: int = LOOKBACK_DAYS) -> DataFrame:
     """Signed volume summed over the range."""
-    _check_order(order)
-    return _prepare(bars, lookback_days).withColumns(_obv(lookback_days, order)).drop(*_HELPERS)
+    return _Lookback((), lookback_days, order).obv().apply(bars).drop("_day")
 
 
 def ema(
@@ -166,27 +173,22 @@ def ema(
     lookback_days: int = LOOKBACK_DAYS,
 ) -> DataFrame:
     """Exponential mean, started from the simple mean after more than ``max_gap_days`` of silence."""
-    averaged = _prepare(bars, lookback_days).withColumns(_sma(windows, lookback_days))
-    return _smoothed(averaged, windows, max_gap_days, False, False).drop(*_HELPERS)
+    averaged = _Lookback(windows, lookback_days).sma().apply(bars)
+    return _smoothed(averaged, windows, max_gap_days, with_state=False, with_macd=False).drop("_day")
 
 
 def macd(bars: DataFrame, max_gap_days: int = MAX_GAP_DAYS, lookback_days: int = LOOKBACK_DAYS) -> DataFrame:
     """Difference of the 12 and 26 bar exponential means, its signal line and their distance."""
-    averaged = _prepare(bars, lookback_days).withColumns(_sma((26, 12), lookback_days))
-    return _smoothed(averaged, (26, 12), max_gap_days, False, True).drop(*_HELPERS)
+    averaged = _Lookback((26, 12), lookback_days).sma().apply(bars)
+    return _smoothed(averaged, (26, 12), max_gap_days, with_state=False, with_macd=True).drop("_day")
 
 
 def _all_indicators(
     bars: DataFrame, windows: Sequence[int], order: str, lookback_days: int
 ) -> DataFrame:
-    return _prepare(bars, lookback_days).withColumns(
-        {
-            **_sma(windows, lookback_days),
-            **_rsi(windows, lookback_days, order),
-            **_bollinger(windows),
-            **_obv(lookback_days, order),
-        }
-    )
+    if not {12, 26} <= set(windows):
+        raise ValueError("MACD needs the windows 12 and 26")
+    return _Lookback(windows, lookback_days, order).sma().rsi().bollinger().obv().apply(bars)
 
 
 def output_columns(windows: Sequence[int]) -> list[str]:
@@ -207,9 +209,9 @@ def daily_indicators(
     lookback_days: int = LOOKBACK_DAYS,
 ) -> DataFrame:
     """Every indicator for every bar: one shuffle on symbol, then windows only."""
-    _check_windows(windows, order)
     looked_back = _all_indicators(bars, windows, order, lookback_days)
-    return _smoothed(looked_back, windows, max_gap_days, False, True).select(*output_columns(windows))
+    done = _smoothed(looked_back, windows, max_gap_days, with_state=False, with_macd=True)
+    return done.select(*output_columns(windows))
 
 
 def indicators_from(
@@ -225,17 +227,12 @@ def indicators_from(
     ``bars`` carries ``_from`` and reaches ``lookback_days`` behind it; ``state`` has one row per
     symbol with ``prev_`` columns, or none for a symbol that starts here.
     """
-    _check_windows(windows, order)
     looked_back = _all_indicators(bars, windows, order, lookback_days).filter(F.col("date") >= F.col("_from"))
     carried = [f"prev_ema_{n}" for n in windows] + ["prev_signal"]
     joined = join_prev_state(looked_back, state.select("symbol", *carried))
     # The state belongs to the first row alone; later starts follow a gap and know none.
     first = F.col("date") == F.col("_from")
     with_state = joined.withColumns({c: F.when(first, F.col(c)) for c in carried})
-    return _smoothed(with_state, windows, max_gap_days, True, True).select(*output_columns(windows))
-
-
-def _check_windows(windows: Sequence[int], order: str) -> None:
-    _check_order(order)
-    if not {12, 26} <= set(windows):
-        raise ValueError("MACD needs the windows 12 and 26")
+    return _smoothed(with_state, windows, max_gap_days, with_state=True, with_macd=True).select(
+        *output_columns(windows)
+    )

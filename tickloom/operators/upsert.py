@@ -22,7 +22,7 @@ class DuplicateKeyError(ValueError):
 
 
 class MovedPartitionError(ValueError):
-    """A partition column does not follow from the date, so an old row could stay behind."""
+    """A partition column does not follow from the date, so an old row could stay behind or be lost."""
 
 
 def merge_rows(
@@ -74,9 +74,10 @@ def _inspect(changes: DataFrame, spec: TableSpec) -> list | None:
 
 
 def _misplaced(spec: TableSpec) -> Column:
-    """Whether year, month or day disagree with the date of the row."""
+    """Whether year, month or day disagree with the date of the row, or the date is unknown."""
     derived = {"year": F.year("date"), "month": F.month("date"), "day": F.dayofmonth("date")}
-    return ~reduce(and_, [F.col(c).eqNullSafe(derived[c]) for c in spec.partition_by])
+    agree = reduce(and_, [F.col(c) == derived[c] for c in spec.partition_by])
+    return ~F.coalesce(agree, F.lit(False))
 
 
 def upsert(

@@ -18,8 +18,8 @@ def create_tables(spark: SparkSession, lake: Lakehouse) -> None:
     """Create what is missing; existing tables and their data stay."""
     for key, spec in TABLES.items():
         spark.sql(
-            f"CREATE TABLE IF NOT EXISTS {lake.table(key)} ({spec.schema.toDDL()}) USING parquet "
-            f"PARTITIONED BY ({', '.join(spec.partition_by)}) LOCATION '{lake.path(key)}'"
+            f"CREATE TABLE IF NOT EXISTS {lake.table(key)} ({spec.stored_schema.toDDL()}) USING parquet "
+            f"PARTITIONED BY ({', '.join(spec.folders)}) LOCATION '{lake.path(key)}'"
         )
 
 

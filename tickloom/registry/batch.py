@@ -19,7 +19,7 @@ from tickloom.plans.setup import refresh_partitions, set_up
 from tickloom.registry import views
 from tickloom.registry.views import rounded, table, view
 from tickloom.schemas import PRICE_FEED, TABLES
-from tickloom.sinks.files import append_table, land_history, max_partition, preview
+from tickloom.sinks.files import land_history, max_partition, preview, write_batch
 from tickloom.sources.feeds import read_feed, read_untyped
 from tickloom.sources.inventory import list_files
 from tickloom.sources.symbols import read_symbol_column, read_symbols
@@ -103,7 +103,7 @@ def ddl_catalog(spark: SparkSession, sf: str) -> DataFrame:
     lake = Lakehouse(root, env=f"t{root.rsplit('-', 1)[-1]}")
     set_up(spark, lake)
     prices, bars = "bronze.prices", "silver.daily_price_aggregates"
-    append_table(_ticks(spark, sf), lake.path(prices), TABLES[prices].partition_by)
+    write_batch(_ticks(spark, sf), lake.path(prices), TABLES[prices].partition_by, "load-1")
     upsert(_bars(spark, sf), lake.path(bars), TABLES[bars])
     counts = []
     for key in (prices, bars):

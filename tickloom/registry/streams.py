@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 from tickloom.config import Lakehouse, shared_folder
@@ -10,7 +12,7 @@ from tickloom.registry.batch import CHECKED_AT, Query
 from tickloom.registry.views import rounded, table, view
 from tickloom.schemas import FUNDAMENTALS_FEED, PRICE_FEED, SILVER_PRICES, TABLES
 from tickloom.operators.cleaning import cast_ints
-from tickloom.sinks.files import append_table, land_history
+from tickloom.sinks.files import append_table, land_history, write_batch
 from tickloom.sources.tables import read_table
 from tickloom.streaming import bronze, gold, silver
 
@@ -20,7 +22,11 @@ _FUND_CUT = "TIMESTAMP '1998-07-01'"
 
 
 def _store(rows: DataFrame, lake: Lakehouse, key: str) -> None:
-    append_table(rows, lake.path(key), TABLES[key].partition_by)
+    spec, path = TABLES[key], lake.path(key)
+    if spec.tagged:
+        write_batch(rows, path, spec.partition_by, f"load-{uuid.uuid4().hex}")
+    else:
+        append_table(rows, path, spec.partition_by)
 
 
 def _stored(spark: SparkSession, lake: Lakehouse, key: str) -> DataFrame:

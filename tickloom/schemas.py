@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 # Column names, order and types of the feeds and tables.
 _STAMP = "extract_time timestamp, extract_date date, year integer, month integer, day integer"
@@ -83,6 +83,10 @@ FUNDAMENTALS_AMOUNTS = (
 )
 
 
+# Innermost partition of tables that streams append to: which micro-batch wrote a row.
+BATCH_TAG = "batch_tag"
+
+
 @dataclass(frozen=True)
 class TableSpec:
     """One lakehouse table: where it lives, what it holds, how it is split."""
@@ -92,16 +96,28 @@ class TableSpec:
     schema: StructType
     partition_by: tuple[str, ...]
     key: tuple[str, ...] = ()
+    tagged: bool = False
+
+    @property
+    def stored_schema(self) -> StructType:
+        """Columns of the files and folders, the batch tag included."""
+        tag = [StructField(BATCH_TAG, StringType())] if self.tagged else []
+        return StructType(self.schema.fields + tag)
+
+    @property
+    def folders(self) -> tuple[str, ...]:
+        """Partition columns in the order of the folders."""
+        return (*self.partition_by, BATCH_TAG) if self.tagged else self.partition_by
 
 
 TABLES = {
     f"{t.layer}.{t.name}": t
     for t in (
         TableSpec("logging", "dq_log", DQ_LOG, BY_DAY),
-        TableSpec("bronze", "fundamentals", FUNDAMENTALS_FEED, BY_DAY),
-        TableSpec("bronze", "prices", PRICE_FEED, BY_DAY),
-        TableSpec("silver", "fundamentals", SILVER_FUNDAMENTALS, BY_DAY, FUNDAMENTALS_KEY),
-        TableSpec("silver", "prices", SILVER_PRICES, BY_DAY, PRICE_KEY),
+        TableSpec("bronze", "fundamentals", FUNDAMENTALS_FEED, BY_DAY, tagged=True),
+        TableSpec("bronze", "prices", PRICE_FEED, BY_DAY, tagged=True),
+        TableSpec("silver", "fundamentals", SILVER_FUNDAMENTALS, BY_DAY, FUNDAMENTALS_KEY, tagged=True),
+        TableSpec("silver", "prices", SILVER_PRICES, BY_DAY, PRICE_KEY, tagged=True),
         TableSpec("silver", "daily_price_aggregates", DAILY_BARS, BY_MONTH, BAR_KEY),
         TableSpec("gold", "daily_price_indicators", DAILY_INDICATORS, BY_MONTH, BAR_KEY),
     )

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-BATCH_TAG = "batch_tag"
+from tickloom.schemas import BATCH_TAG
 
 # Micro-second ISO times; the CSV writer's own default cuts them to milliseconds.
 _CSV_TIME = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
