@@ -18,7 +18,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, WindowSpec
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.operators.history import join_prev_state
@@ -33,16 +33,12 @@ MAX_GAP_DAYS = 5
 
 ORDERS = ("newest_first", "oldest_first")
 
-def _by_day() -> WindowSpec:
-    return Window.partitionBy("symbol").orderBy("_day")
-
-
 def _weight(window: int) -> float:
     return 2 / (window + 1)
 
 
 class _Lookback:
-    """Windowed values of one pass over the bars, and the indicators made from them.
+    """Windowed values of one pass over the bars, and the indicators made from them, as SQL.
 
     Every frame is computed once, in ``frames``, however many indicators use it.
     """
@@ -51,75 +47,79 @@ class _Lookback:
         if order not in ORDERS:
             raise ValueError(f"order must be one of {ORDERS}, not {order!r}")
         self.windows, self.days, self.order = windows, lookback_days, order
-        self.frames: dict[str, Column] = {}
-        self.out: dict[str, Column] = {}
+        self.frames: dict[str, str] = {}
+        self.out: dict[str, str] = {}
 
-    def _frame(self, name: str, value: Column, window: WindowSpec) -> Column:
-        self.frames[name] = value.over(window)
-        return F.col(name)
+    def _frame(self, name: str, aggregate: str, rows: str) -> str:
+        self.frames[name] = f"{aggregate} OVER (PARTITION BY symbol ORDER BY _day {rows})"
+        return name
 
-    def _newest(self, n: int, name: str, value: Column) -> Column:
+    def _in_range(self, name: str, aggregate: str, until: str = "CURRENT ROW") -> str:
+        """Aggregate over the bars of the last days."""
+        return self._frame(name, aggregate, f"RANGE BETWEEN {self.days} PRECEDING AND {until}")
+
+    def _newest(self, n: int, name: str, aggregate: str, until: str = "CURRENT ROW") -> str:
         """Aggregate over the newest n bars."""
-        return self._frame(f"{name}_{n}", value, _by_day().rowsBetween(1 - n, Window.currentRow))
+        return self._frame(f"{name}_{n}", aggregate, f"ROWS BETWEEN {n - 1} PRECEDING AND {until}")
 
     def sma(self) -> _Lookback:
-        in_range = self._frame("_mean", F.avg("avg_price"), _by_day().rangeBetween(-self.days, 0))
+        fewer = self._in_range("_mean", "avg(avg_price)")
         for n in self.windows:
-            newest = self._newest(n, "_mean", F.avg("avg_price"))
-            self.out[f"ma_{n}"] = F.when(F.col("_bars") >= n, newest).otherwise(in_range)
+            newest = self._newest(n, "_mean", "avg(avg_price)")
+            self.out[f"ma_{n}"] = f"CASE WHEN _bars >= {n} THEN {newest} ELSE {fewer} END"
         return self
 
     def rsi(self) -> _Lookback:
-        rise, fall = F.greatest("_move", F.lit(0.0)), F.greatest(-F.col("_move"), F.lit(0.0))
-        parts = {"_gain": rise, "_loss": fall}
-        if self.order == "newest_first":
-            parts = {"_gain": fall, "_loss": rise}
+        rise, fall = "sum(greatest(_move, 0D))", "sum(greatest(-_move, 0D))"
+        up, down = (fall, rise) if self.order == "newest_first" else (rise, fall)
         for n in self.windows:
-            gain, loss = (self._moves(n, name, part) for name, part in parts.items())
+            gain, loss = self._moves(n, "_gain", up), self._moves(n, "_loss", down)
             # The averages divide both sums by n, which leaves their ratio as it is.
-            strength = 100 - 100 / (1 + gain / loss)
-            self.out[f"rsi_{n}"] = F.when(loss == 0, F.lit(100.0)).otherwise(strength)
+            strength = f"100 - 100 / (1 + {gain} / {loss})"
+            self.out[f"rsi_{n}"] = f"CASE WHEN {loss} = 0 THEN 100D ELSE {strength} END"
         return self
 
-    def _moves(self, n: int, name: str, part: Column) -> Column:
+    def _moves(self, n: int, name: str, total: str) -> str:
         """Sum over the moves between the newest n bars in range."""
-        in_range = self._frame(name, F.sum(part), _by_day().rangeBetween(-self.days, -1))
         if n < 2:
-            return F.lit(0.0)
-        newest = self._frame(f"{name}_{n}", F.sum(part), _by_day().rowsBetween(1 - n, -1))
-        return F.coalesce(F.when(F.col("_bars") >= n, newest).otherwise(in_range), F.lit(0.0))
+            return "0D"
+        fewer = self._in_range(name, total, "1 PRECEDING")
+        newest = self._newest(n, name, total, "1 PRECEDING")
+        return f"coalesce(CASE WHEN _bars >= {n} THEN {newest} ELSE {fewer} END, 0D)"
 
     def bollinger(self) -> _Lookback:
         for n in self.windows:
-            enough = F.col("_bars") >= n
-            mean = self._newest(n, "_mean", F.avg("avg_price"))
-            spread = 2 * self._newest(n, "_dev", F.stddev_samp("avg_price"))
-            self.out[f"bb_upper_{n}"] = F.when(enough, mean + spread)
-            self.out[f"bb_lower_{n}"] = F.when(enough, mean - spread)
-            self.out[f"bb_width_{n}"] = F.when(enough, (mean + spread) - (mean - spread))
+            mean = self._newest(n, "_mean", "avg(avg_price)")
+            spread = f"2 * {self._newest(n, '_dev', 'stddev_samp(avg_price)')}"
+            bands = {
+                "upper": f"{mean} + {spread}",
+                "lower": f"{mean} - {spread}",
+                "width": f"({mean} + {spread}) - ({mean} - {spread})",
+            }
+            self.out |= {f"bb_{b}_{n}": f"CASE WHEN _bars >= {n} THEN {v} END" for b, v in bands.items()}
         return self
 
     def obv(self) -> _Lookback:
         if self.order == "newest_first":
             # The running sum starts at the newest bar, which has no newer bar to differ from.
-            self.out["obv"] = F.lit(0.0)
+            self.out["obv"] = "0D"
         else:
-            flow = self._frame("_flows", F.sum("_flow"), _by_day().rangeBetween(-self.days, -1))
-            self.out["obv"] = F.coalesce(flow, F.lit(0.0))
+            self.out["obv"] = f"coalesce({self._in_range('_flows', 'sum(_flow)', '1 PRECEDING')}, 0D)"
         return self
 
     def apply(self, bars: DataFrame) -> DataFrame:
         """Bars with the indicators and the day number ``_day``."""
-        move = F.lead("avg_price").over(_by_day()) - F.col("avg_price")
-        helpers = {
-            "_move": F.coalesce(move, F.lit(0.0)),
-            "_flow": F.coalesce(F.signum(move) * F.lead("volume").over(_by_day()), F.lit(0.0)),
-            "_bars": F.count(F.lit(1)).over(_by_day().rangeBetween(-self.days, 0)),
-        }
-        prepared = bars.withColumn("_day", F.unix_date("date")).withColumns(helpers)
-        return prepared.withColumns(self.frames).select(
-            *bars.columns, "_day", *[column.alias(name) for name, column in self.out.items()]
+        by_day = "OVER (PARTITION BY symbol ORDER BY _day"
+        move = f"lead(avg_price) {by_day}) - avg_price"
+        prepared = bars.selectExpr("*", "unix_date(date) AS _day").selectExpr(
+            "*",
+            f"coalesce({move}, 0D) AS _move",
+            f"coalesce(sign({move}) * lead(volume) {by_day}), 0D) AS _flow",
+            f"count(*) {by_day} RANGE BETWEEN {self.days} PRECEDING AND CURRENT ROW) AS _bars",
         )
+        framed = prepared.selectExpr("*", *[f"{value} AS {name}" for name, value in self.frames.items()])
+        indicators = [f"{value} AS {name}" for name, value in self.out.items()]
+        return framed.selectExpr(*bars.columns, "_day", *indicators)
 
 
 def _smoothed(
@@ -133,9 +133,9 @@ def _smoothed(
     ]
     done = smooth(mark_segments(prepared, max_gap_days), averages)
     if with_macd:
-        done = done.withColumn("macd", F.col("ema_12") - F.col("ema_26"))
+        done = done.selectExpr("*", "ema_12 - ema_26 AS macd")
         signal = Smoothing("signal", "macd", "macd", _weight(SIGNAL_WINDOW), previous("signal"))
-        done = smooth(done, [signal]).withColumn("macd_hist", F.col("macd") - F.col("signal"))
+        done = smooth(done, [signal]).selectExpr("*", "macd - signal AS macd_hist")
     return done.drop(*MARKS)
 
 

@@ -12,11 +12,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 BLOCK = 128
 
+_SO_FAR = "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
+_BEFORE = "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
+
 
 @dataclass(frozen=True)
 class Smoothing:
@@ -28,13 +30,16 @@ class Smoothing:
     weight: float
     previous: str | None = None
 
-    def start(self) -> Column:
+    @property
+    def keep(self) -> float:
+        return 1 - self.weight
+
+    @property
+    def start(self) -> str:
         """Value of a start row: a step on from stored state if there is any, else the seed."""
         if self.previous is None:
-            return F.col(self.seed)
-        stored = F.col(self.previous)
-        step = stored * (1 - self.weight) + F.col(self.value) * self.weight
-        return F.when(stored.isNull(), F.col(self.seed)).otherwise(step)
+            return self.seed
+        return f"coalesce({self.previous} * {self.keep}D + {self.value} * {self.weight}D, {self.seed})"
 
 
 def mark_segments(df: DataFrame, max_gap_days: int) -> DataFrame:
@@ -43,47 +48,47 @@ def mark_segments(df: DataFrame, max_gap_days: int) -> DataFrame:
     A start is the first row, a row more than ``max_gap_days`` after the one before it, or a row
     after one without a price.
     """
-    by_day = Window.partitionBy("symbol").orderBy("_day")
-    so_far = by_day.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    gap = F.col("_day") - F.lag("_day").over(by_day)
-    starts = gap.isNull() | (gap > max_gap_days) | F.lag("avg_price").over(by_day).isNull()
-    numbered = df.withColumns({"_row": F.row_number().over(by_day), "_starts": starts})
-    placed = numbered.withColumn("_segment", F.max(F.when(F.col("_starts"), F.col("_row"))).over(so_far))
-    since = F.col("_row") - F.col("_segment")
-    return placed.withColumns({"_pos": since, "_offset": since % BLOCK, "_block": F.col("_row") - since % BLOCK})
+    by_day = "OVER (PARTITION BY symbol ORDER BY _day"
+    starts = (
+        f"lag(_day) {by_day}) IS NULL OR _day - lag(_day) {by_day}) > {max_gap_days} "
+        f"OR lag(avg_price) {by_day}) IS NULL"
+    )
+    numbered = df.selectExpr("*", f"row_number() {by_day}) AS _row", f"{starts} AS _starts")
+    placed = numbered.selectExpr("*", f"max(CASE WHEN _starts THEN _row END) {by_day} {_SO_FAR}) AS _segment")
+    counted = placed.selectExpr("*", "_row - _segment AS _pos", f"(_row - _segment) % {BLOCK} AS _offset")
+    return counted.selectExpr("*", "_row - _offset AS _block")
 
 
 MARKS = ("_row", "_starts", "_segment", "_pos", "_offset", "_block")
 
 
-def _carry(ends: str, per_block: float) -> Column:
-    """State before a block: the ends of the blocks before it, folded oldest first."""
-    return F.aggregate(ends, F.lit(0.0), lambda state, end: state * F.lit(per_block) + end)
-
-
 def smooth(marked: DataFrame, smoothings: Sequence[Smoothing]) -> DataFrame:
     """Add the smoothed columns to rows prepared by ``mark_segments``.
 
     A row without a value gets none, unless it is a start. A weight of 1 keeps nothing of the
     past, so the column is the value itself.
     """
-    block = Window.partitionBy("symbol", "_block").orderBy("_day")
-    so_far = block.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    segment = Window.partitionBy("symbol", "_segment").orderBy("_day")
-    before = segment.rowsBetween(Window.unboundedPreceding, -1)
-    at_start, offset = F.col("_pos") == 0, F.col("_offset")
-
     local, ends, out = {}, {}, {}
     for s in smoothings:
-        value, keep = F.col(s.value), 1 - s.weight
-        if keep == 0:
-            out[s.name] = F.when(at_start, s.start()).otherwise(value)
+        if s.keep == 0:
+            out[s.name] = f"CASE WHEN _pos = 0 THEN {s.start} ELSE {s.value} END"
             continue
         in_block, block_ends = f"_local_{s.name}", f"_ends_{s.name}"
-        term = F.when(at_start, s.start()).otherwise(value * s.weight)
-        decay = F.pow(F.lit(keep), offset)
-        local[in_block] = F.sum(term / decay).over(so_far) * decay
-        ends[block_ends] = F.collect_list(F.when(offset == BLOCK - 1, F.col(in_block))).over(before)
-        carried = _carry(block_ends, keep**BLOCK) * F.pow(F.lit(keep), offset + 1)
-        out[s.name] = F.when(at_start | value.isNotNull(), F.col(in_block) + carried)
-    return marked.withColumns(local).withColumns(ends).withColumns(out).drop(*local, *ends)
+        term = f"CASE WHEN _pos = 0 THEN {s.start} ELSE {s.value} * {s.weight}D END"
+        decay = f"pow({s.keep}D, _offset)"
+        local[in_block] = (
+            f"sum(({term}) / {decay}) OVER (PARTITION BY symbol, _block ORDER BY _day {_SO_FAR}) * {decay}"
+        )
+        ends[block_ends] = (
+            f"collect_list(CASE WHEN _offset = {BLOCK - 1} THEN {in_block} END) "
+            f"OVER (PARTITION BY symbol, _segment ORDER BY _day {_BEFORE})"
+        )
+        # State before this block: the ends of the blocks before it, folded oldest first.
+        state = f"aggregate({block_ends}, 0D, (state, last) -> state * {s.keep**BLOCK}D + last)"
+        out[s.name] = (
+            f"CASE WHEN _pos = 0 OR {s.value} IS NOT NULL "
+            f"THEN {in_block} + {state} * {decay} * {s.keep}D END"
+        )
+    for stage in (local, ends, out):
+        marked = marked.selectExpr("*", *[f"{expression} AS {name}" for name, expression in stage.items()])
+    return marked.drop(*local, *ends)
