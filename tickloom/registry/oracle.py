@@ -344,8 +344,8 @@ ORACLE: dict[str, str] = {
         {", ".join(f"{oracle_round(c)} AS prev_{c}" for c in _BAR_VALUES)} FROM {BARS}""",
     "order_columns": f"SELECT {_columns(FUNDAMENTALS_FEED)}, country AS unlisted FROM {FUNDAMENTALS}",
     "normalize_snapshot": f"SELECT {_columns(PRICE_FEED, skip=('extract_time', 'extract_date', *BY_DAY))} FROM {TICKS}",
-    "stamp_partitions": """SELECT o_orderkey, t AS extract_time, CAST(t AS DATE) AS extract_date, year(t) AS year,
-        month(t) AS month, day(t) AS day
+    "stamp_partitions": """SELECT o_orderkey, t AS extract_time, CAST(t AS DATE) AS extract_date,
+        CAST(year(t) AS INT) AS year, CAST(month(t) AS INT) AS month, CAST(day(t) AS INT) AS day
         FROM (SELECT o_orderkey, o_orderdate + INTERVAL 2 DAY AS t FROM orders)""",
     "drop_duplicates": f"""SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (
         PARTITION BY l_orderkey, l_linenumber ORDER BY {_KEPT}) AS rn FROM lineitem) WHERE rn = 1""",
@@ -357,7 +357,7 @@ ORACLE: dict[str, str] = {
         FROM (SELECT date, unnest(generate_series(date_trunc('month', date - 90),
         date_trunc('month', date), INTERVAL 1 MONTH)) AS m FROM (SELECT DISTINCT date FROM {BARS}))""",
     "history_slice": f"""SELECT symbol, date, {_rounded(_BAR_VALUES, 6)},
-        year, month, row_number() OVER (PARTITION BY symbol ORDER BY date DESC) AS rn
+        year, month, CAST(row_number() OVER (PARTITION BY symbol ORDER BY date DESC) AS INT) AS rn
         FROM {BARS} WHERE date BETWEEN {AS_OF} - 90 AND {AS_OF}""",
     "latest_row": f"""SELECT symbol, date, {_rounded(_BAR_VALUES, 6)},
         year, month FROM {BARS} WHERE date >= {AS_OF} - 5 AND date < {AS_OF}
