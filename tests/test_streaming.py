@@ -14,8 +14,8 @@ from tickloom.operators.upsert import upsert
 from tickloom.plans.landing import land
 from tickloom.plans.setup import refresh_partitions, set_up
 from tickloom.schemas import DQ_LOG, FUNDAMENTALS_FEED, PRICE_FEED, TABLES
-from tickloom.sinks.files import write_batch
-from tickloom.sources.tables import read_table
+from tickloom.sinks.files import drain_batches, drain_to_table, write_batch
+from tickloom.sources.tables import read_table, select_all, stream_catalog_table
 from tickloom.streaming import bronze, gold, silver
 
 NOON = datetime(2024, 1, 10, 12)
@@ -74,7 +74,8 @@ def test_wrong_flag_is_refused(spark, lake):
         land(fetched(spark, "A"), lake, "other", F.lit(NOON))
 
 
-def test_a_fundamentals_snapshot_passes_all_layers(spark, lake):
+@pytest.mark.parametrize("spread", [False, True])
+def test_a_fundamentals_snapshot_passes_all_layers(spark, lake, spread):
     rows = spark.createDataFrame(
         [("A", "Alpha", 3e11, 20000.0), ("A", "Alpha", 3e11, 20000.0), ("B", None, 1.0, 1.0)],
         "symbol string, shortName string, marketCap double, fullTimeEmployees double",
@@ -84,13 +85,26 @@ def test_a_fundamentals_snapshot_passes_all_layers(spark, lake):
     for _ in range(2):
         land(rows, lake, "fund", F.lit(NOON).cast("timestamp"))
         bronze.ingest_fundamentals(spark, lake)
-        silver.refine_fundamentals(spark, lake)
+        silver.refine_fundamentals(spark, lake, spread)
     assert stored(spark, lake, "bronze.fundamentals").count() == 6
     (row,) = stored(spark, lake, "silver.fundamentals").collect()
     assert (row["marketCap"], row["marketCapCategory"]) == (300_000_000_000, "Mega Cap")
     assert (row["employeeCountCategory"], row["profitMarginCategory"]) == ("Large Workforce", "Low Margin")
 
 
+def test_copies_in_many_files_are_one_row(spark, lake):
+    schema = "k string, extract_time timestamp"
+    for _ in range(2):
+        copies = spark.createDataFrame([("hot", NOON)] * 40 + [("cold", NOON)], schema)
+        copies.repartition(8).write.mode("append").parquet(f"{lake.root}/copies")
+        for spread in (False, True):
+            stream = spark.readStream.schema(schema).parquet(f"{lake.root}/copies")
+            unique = silver.unique_so_far(stream.withWatermark("extract_time", "2 days"), ["k", "extract_time"], spread)
+            drain_to_table(unique, f"{lake.root}/out{spread}", ["k"], lake.checkpoint(f"copies{spread}"))
+    for spread in (False, True):
+        assert spark.read.parquet(f"{lake.root}/out{spread}").count() == 2
+
+
 def test_late_fundamentals_are_dropped(spark, lake):
     def snapshot(name, at):
         base = spark.createDataFrame([(name, name)], "symbol string, shortName string")
@@ -244,3 +258,8 @@ def test_set_up_is_repeatable_and_shows_written_rows(spark, lake):
     table = spark.table(lake.table("bronze.prices"))
     assert set(PRICE_FEED.names) <= set(table.columns) and table.count() == 1
     assert spark.table(lake.table("logging.dq_log")).columns == DQ_LOG.names
+    assert select_all(spark, lake.table("bronze.prices")).count() == 1
+    seen = []
+    stream = stream_catalog_table(spark, lake.table("bronze.prices"))
+    drain_batches(stream, lambda batch, _: seen.append(batch.count()), lake.checkpoint("seen"))
+    assert sum(seen) == 1

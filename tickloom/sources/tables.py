@@ -39,3 +39,8 @@ def stream_table(
     if max_bytes:
         reader = reader.option("maxBytesPerTrigger", max_bytes)
     return reader.parquet(path).select(*schema.names)
+
+
+def stream_catalog_table(spark: SparkSession, table: str) -> DataFrame:
+    """New rows of a table known to the catalog, as a stream."""
+    return spark.readStream.table(table)

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime, timezone
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tickloom.config import Lakehouse
@@ -63,20 +65,35 @@ def refine_prices(
     return drain_batches(stream.withWatermark("extract_time", PRICE_DELAY), store, checkpoint)
 
 
+def unique_so_far(rows: DataFrame, keys: Sequence[str], spread: bool = False) -> DataFrame:
+    """First row of each key of a stream; a key is remembered until the watermark passes it.
+
+    All copies of a key meet in one task, though only the key is kept there. ``spread`` is for
+    feeds in which a few keys come very often: copies are first thinned out per input task, so
+    that a key sends one row per input task to the place where it is decided.
+    """
+    if spread:
+        placed = rows.withColumn("_task", F.spark_partition_id())
+        rows = placed.dropDuplicates([*keys, "_task"]).drop("_task")
+    return rows.dropDuplicates(list(keys))
+
+
 def refine_fundamentals(
-    spark: SparkSession, lake: Lakehouse, max_files: int | None = None, max_bytes: str | None = None
+    spark: SparkSession,
+    lake: Lakehouse,
+    spread: bool = False,
+    max_files: int | None = None,
+    max_bytes: str | None = None,
 ) -> StreamingQuery:
     """Clean, de-duplicate across batches, categorize and append new bronze fundamentals.
 
-    A key is remembered until the watermark passes it; later copies and late rows are dropped.
-    All copies of one key meet in one task but only the key is kept, so ``max_bytes`` is what
-    bounds the work of a task on a large backlog.
+    Late rows, older than the watermark, are dropped.
     """
     spec = TABLES["silver.fundamentals"]
     bronze = TABLES["bronze.fundamentals"].schema
     rows = stream_table(spark, lake.path("bronze.fundamentals"), bronze, max_files, max_bytes)
     present = cast_ints(filter_not_null(rows, FUNDAMENTALS_KEY), FUNDAMENTALS_AMOUNTS)
-    unique = present.withWatermark("extract_time", PRICE_DELAY).dropDuplicates(list(FUNDAMENTALS_KEY))
+    unique = unique_so_far(present.withWatermark("extract_time", PRICE_DELAY), FUNDAMENTALS_KEY, spread)
     return drain_to_table(
         add_categories(unique).select(*spec.schema.names),
         lake.path("silver.fundamentals"),
