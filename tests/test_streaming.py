@@ -92,6 +92,16 @@ def test_a_fundamentals_snapshot_passes_all_layers(spark, lake, spread):
     assert (row["employeeCountCategory"], row["profitMarginCategory"]) == ("Large Workforce", "Low Margin")
 
 
+def test_a_stateful_stream_writes_one_file_per_small_partition(spark, lake):
+    rows = [(i, i % 3, NOON) for i in range(60)]
+    folder = f"{lake.root}/spread"
+    spark.createDataFrame(rows, "k int, p int, t timestamp").repartition(8).write.parquet(folder)
+    stream = spark.readStream.schema("k int, p int, t timestamp").parquet(folder).withWatermark("t", "1 day")
+    drain_to_table(stream.dropDuplicates(["k", "t"]), f"{lake.root}/few", ["p"], lake.checkpoint("few"))
+    files = spark.read.parquet(f"{lake.root}/few").select("p", "_metadata.file_name").distinct()
+    assert files.count() == 3
+
+
 def test_copies_in_many_files_are_one_row(spark, lake):
     schema = "k string, extract_time timestamp"
     for _ in range(2):

@@ -12,6 +12,7 @@ from tickloom.schemas import BATCH_TAG
 
 # Micro-second ISO times; the CSV writer's own default cuts them to milliseconds.
 _CSV_TIME = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+_ADAPTIVE = "spark.sql.adaptive.enabled"
 
 
 def max_partition(df: DataFrame, columns: Sequence[str] = ("year", "month")) -> DataFrame:
@@ -88,9 +89,25 @@ def drain_batches(
     checkpoint: str,
     mode: str = "append",
 ) -> StreamingQuery:
-    """Hand everything that has arrived to ``batch_function`` batch by batch, then stop."""
+    """Hand everything that has arrived to ``batch_function`` batch by batch, then stop.
+
+    A stateful stream plans without adaptive execution. What a batch function does with its
+    batch is ordinary work again, so there the setting of the caller's session holds: writes are
+    rebalanced and joins adapt to sizes.
+    """
+    adaptive = stream.sparkSession.conf.get(_ADAPTIVE)
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        conf = batch.sparkSession.conf
+        planned = conf.get(_ADAPTIVE)
+        conf.set(_ADAPTIVE, adaptive)
+        try:
+            batch_function(batch, batch_id)
+        finally:
+            conf.set(_ADAPTIVE, planned)
+
     query = (
-        stream.writeStream.foreachBatch(batch_function)
+        stream.writeStream.foreachBatch(run)
         .outputMode(mode)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
