@@ -32,10 +32,10 @@ def refreshed_indicators(
     """
     if refresh not in ("following", "batch"):
         raise ValueError(f"refresh must be 'following' or 'batch', not {refresh!r}")
-    first = changed.groupBy("symbol").agg(F.min("date").alias("_from"))
-    earliest = first.agg(F.min("_from").alias("day")).first()["day"]
+    earliest = changed.agg(F.min("date").alias("day")).first()["day"]
     if earliest is None:
         return None
+    first = changed.groupBy("symbol").agg(F.min("date").alias("_from"))
 
     reach = earliest - timedelta(days=LOOKBACK_DAYS)
     days = F.col("date")
