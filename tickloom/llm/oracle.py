@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tickloom.llm.secrets import ACCESS, ALLOW, ASSIGN, ASSIGN_LEAST, CLASSES, HEX
+from tickloom.llm.secrets import ACCESS, ALLOW, ASSIGN, ASSIGN_LEAST, CLASSES, HEX, UNLIKE_WORDS
 
 EXACT = r"""
 WITH n AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents),
@@ -41,6 +41,19 @@ SELECT doc_id, size, source_size, target, coalesce(taken, 0)::BIGINT AS taken FR
 """
 
 
+WARC = r"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS t FROM pages),
+d AS (SELECT page_id, t, strlen(t)::BIGINT AS payload_bytes, sha1(t) AS h FROM p),
+g AS (SELECT t, min(page_id) AS first FROM d GROUP BY t)
+SELECT page_id, payload_bytes,
+  list_aggregate(list_transform(range(0, 8), lambda i: list_aggregate(list_transform(range(0, 4), lambda j:
+    substring('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((('0x' || substring(h, i * 5 + 1, 5))::BIGINT >> (15 - 5 * j)) & 31)::INT + 1, 1)), 'string_agg', '')), 'string_agg', '') AS payload_digest,
+  CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> first THEN first END AS refers_to
+FROM d JOIN g USING (t)
+"""
+
+
 def _quoted(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
@@ -70,11 +83,13 @@ def secrets() -> str:
             f"""{k}_w AS (SELECT doc_id, text, start, pos, count(*) * log2(count(*)) AS part FROM (
     SELECT doc_id, text, start, pos, unnest(string_split(substring(piece, pos, {w}), '')) AS ch
     FROM (SELECT *, unnest(range(1, length(piece) - {w} + 2)) AS pos FROM {k}_c)) GROUP BY doc_id, text, start, pos, ch)""",
-            f"""{k}_h AS (SELECT doc_id, text, start, start + pos - 1 AS first FROM {k}_w GROUP BY doc_id, text, start, pos HAVING log2({w}) - sum(part) / {w} > {c.bits})""",
+            f"""{k}_h AS (SELECT doc_id, text, start, (start + pos - 1)::BIGINT AS first FROM {k}_w GROUP BY doc_id, text, start, pos HAVING log2({w}) - sum(part) / {w} > {c.bits})""",
             f"""{k}_i AS (SELECT *, sum(fresh) OVER (PARTITION BY doc_id, start ORDER BY first) AS island FROM (
     SELECT *, CASE WHEN first - lag(first) OVER (PARTITION BY doc_id, start ORDER BY first) <= {w} THEN 0 ELSE 1 END AS fresh FROM {k}_h))""",
             f"""{k} AS (SELECT doc_id, {_quoted(k)} AS kind, {rank} AS rank, min(first) AS start, max(first) + {w} AS stop FROM {k}_i
-    GROUP BY doc_id, text, {k}_i.start, island HAVING NOT regexp_matches(substring(text, min(first) + 1, max(first) + {w} - min(first)), {_quoted(allowed)}))""",
+    GROUP BY doc_id, text, {k}_i.start, island
+    HAVING NOT regexp_matches(substring(text, min(first) + 1, max(first) + {w} - min(first)), {_quoted(allowed)})
+      AND regexp_matches(substring(text, min(first) + 1, max(first) + {w} - min(first)), {_quoted(UNLIKE_WORDS)}))""",
         ]
     one = lambda names: " UNION ALL ".join(f"SELECT doc_id, kind, rank, start, stop FROM {n}" for n in names)
     text = "string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, rank, stop)"
@@ -88,4 +103,4 @@ SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_acc
 FROM d LEFT JOIN b USING (doc_id) LEFT JOIN s USING (doc_id)"""
 
 
-ORACLE: dict[str, str] = {"op7_secret_scan": secrets(), "op8_exact_dedup": EXACT, "op10_mix_sources": MIX}
+ORACLE: dict[str, str] = {"op5_warc": WARC, "op7_secret_scan": secrets(), "op8_exact_dedup": EXACT, "op10_mix_sources": MIX}

@@ -4,13 +4,32 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tickloom.llm.bpe import decode, encode
 from tickloom.llm.common import table
 from tickloom.llm.exact_dedup import exact_dedup
 from tickloom.llm.mixing import mix
 from tickloom.llm.secrets import joined, scan_secrets
+from tickloom.llm.sharding import shuffle_into_shards
+from tickloom.llm.warc import read_warc, resolved, write_warc
+
+RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+
+
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page after a round trip through WARC files."""
+    pages = table(spark, sf_dir, "pages")
+    id_type = pages.schema["page_id"].dataType
+    read = resolved(read_warc(spark, write_warc(pages)))
+    return read.select(F.col("page_id").cast(id_type).alias("page_id"), "payload_bytes", "payload_digest", "record_type", F.col("refers_to").cast(id_type).alias("refers_to"))
+
+
+def op6_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shard and slot of every document in random order."""
+    return shuffle_into_shards(table(spark, sf_dir, "documents"), columns=["doc_id", "text"]).drop("text")
 
 
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -30,13 +49,32 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"), columns=["doc_id"])
 
 
+def bpe_digests(docs: DataFrame, columns: list[str]) -> DataFrame:
+    """Ids of every text and the text they decode to, as digests."""
+    found = decode(encode(docs, RANKS, public_tokenizers.PATTERN, columns=columns), RANKS)
+    return found.select(
+        *columns,
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " ").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Byte-level BPE of every document, and back."""
+    return bpe_digests(table(spark, sf_dir, "documents"), ["doc_id"])
+
+
 def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words taken of every document when sources are mixed by weights 1, 2, 3."""
     return mix(table(spark, sf_dir, "documents"), columns=["doc_id"])
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op5_warc": op5_warc,
+    "op6_shard": op6_shard,
     "op7_secret_scan": op7_secret_scan,
     "op8_exact_dedup": op8_exact_dedup,
+    "op9_bpe": op9_bpe,
     "op10_mix_sources": op10_mix_sources,
 }

@@ -8,6 +8,7 @@ the class that overlap or touch become one span. The allow-list takes added span
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -34,17 +35,15 @@ class Entropy:
 
 #: Windows of 24 hexadecimal digits over 3.05 bits (at most 4), of 24 characters of base64 over 3.9 (at most 4.58).
 CLASSES = (Entropy("hex_entropy", "0-9A-Fa-f", 24, 3.05), Entropy("base64_entropy", "A-Za-z0-9+/_=-", 24, 3.9))
-#: Spans that aren't secrets: one kind of letters or digits alone, UUIDs, paths of words, placeholders.
+#: Spans that aren't secrets: digits or capitals alone, UUIDs, placeholders.
 ALLOW = (
     r"^[0-9]+$",
-    r"^[A-Za-z][a-z]*$",
     r"^[A-Z]+$",
     r"^[0-9A-Fa-f]{8}(-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}$",
-    r"^[/_=-]*([A-Za-z]?[a-z]*[/_=-]+)*[A-Za-z]?[a-z]*$",
     r"EXAMPLE|example|PLACEHOLDER|placeholder|0123456789|ABCDEFGHIJKLM|abcdefghijklm",
 )
-
-SPAN = "struct<kind:string,rank:int,start:int,end:int>"
+#: What a secret has and a path or list of words lacks: a digit, a plus, a capital after a letter.
+UNLIKE_WORDS = r"[0-9+]|[A-Za-z][A-Z]"
 
 
 def located(text: Column, pattern: str, chunk: int = 256) -> Column:
@@ -83,47 +82,53 @@ def pattern_spans(text: Column) -> Column:
     return F.concat(_spans(assign, "assign", 1), _spans(located(text, ACCESS), "access", 2), _spans(located(text, HEX), "hex", 3))
 
 
-def _gain(count: Column) -> Column:
-    """c log2 c - (c - 1) log2(c - 1): what the sum gains when a count rises to c."""
-    less = count - 1
-    return count * F.log2(count.cast("double")) - F.when(less > 0, less * F.log2(less.cast("double"))).otherwise(F.lit(0.0))
+def _let(value: Column, use) -> Column:
+    """Bind a value, so that an expression that uses it twice computes it once."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def _gains(w: int) -> Column:
+    """c log2 c - (c - 1) log2(c - 1) for c from 1 to w: what the sum gains when a count rises to c."""
+    f = [c * math.log2(c) if c else 0.0 for c in range(w + 1)]
+    return F.array(*[F.lit(b - a) for a, b in zip(f, f[1:])])
 
 
 def window_spans(start: Column, piece: Column, how: Entropy) -> Column:
-    """Spans of one candidate whose windows exceed the entropy: array<struct<start, end>>."""
+    """Spans of one candidate whose windows exceed the entropy: array<struct<start, end>>.
+
+    The characters are bound once, as the only element of an array, since what an aggregate carries
+    is copied at every step.
+    """
     w = how.window
-    # Character i of the candidate, and its count among the w characters up to it (from it).
-    chars = F.split(piece, "")
-    log_w = F.log2(F.lit(float(w)))
-
-    def step(acc: Column, i: Column) -> Column:
-        def count(at: Column, first: Column, size: Column) -> Column:
-            c = F.element_at(acc["chars"], at)
-            return F.size(F.filter(F.slice(acc["chars"], first, size), lambda x: x == c))
-
-        enters = _gain(count(i, F.greatest(i - w + 1, F.lit(1)), F.least(i, F.lit(w))))
-        leaves = F.when(i > w, _gain(count(F.greatest(i - w, F.lit(1)), F.greatest(i - w, F.lit(1)), F.lit(w)))).otherwise(F.lit(0.0))
-        total = acc["total"] + enters - leaves
-        high = (i >= w) & (log_w - total / w > how.bits)
-        goes_on = high & (acc["end"] >= i - w)
-        closed = F.when(high & ~goes_on & (acc["end"] >= 0), F.concat(acc["out"], F.array(F.struct(acc["start"].alias("start"), acc["end"].alias("end"))))).otherwise(acc["out"])
-        return F.struct(
-            acc["chars"].alias("chars"),
-            total.alias("total"),
-            F.when(high & ~goes_on, i - w).otherwise(acc["start"]).cast("int").alias("start"),
-            F.when(high, i).otherwise(acc["end"]).cast("int").alias("end"),
-            closed.alias("out"),
-        )
-
-    begin = F.struct(
-        chars.alias("chars"), F.lit(0.0).alias("total"), F.lit(-1).alias("start"), F.lit(-1).alias("end"), F.array().cast("array<struct<start:int,end:int>>").alias("out")
-    )
-    done = F.aggregate(
-        F.sequence(F.lit(1), F.length(piece)),
-        begin,
-        step,
-        lambda acc: F.when(acc["end"] >= 0, F.concat(acc["out"], F.array(F.struct(acc["start"].alias("start"), acc["end"].alias("end"))))).otherwise(acc["out"]),
-    )
+    log_w = math.log2(w)
+
+    def walk(chars: Column) -> Column:
+        def gain(at: Column, first: Column, size: Column) -> Column:
+            c = F.element_at(chars, at)
+            return F.element_at(_gains(w), _let(c, lambda c: F.size(F.filter(F.slice(chars, first, size), lambda x: x == c))))
+
+        def step(acc: Column, i: Column) -> Column:
+            gone = F.greatest(i - w, F.lit(1))
+            enters = gain(i, F.greatest(i - w + 1, F.lit(1)), F.least(i, F.lit(w)))
+            leaves = F.when(i > w, gain(gone, gone, F.lit(w))).otherwise(F.lit(0.0))
+            return _let(acc["total"] + enters - leaves, lambda total: _let((i >= w) & (log_w - total / w > how.bits), lambda high: after(acc, i, total, high)))
+
+        def after(acc: Column, i: Column, total: Column, high: Column) -> Column:
+            fresh = high & (acc["end"] < i - w)
+            return F.struct(
+                total.alias("total"),
+                F.when(fresh, i - w).otherwise(acc["start"]).cast("int").alias("start"),
+                F.when(high, i).otherwise(acc["end"]).cast("int").alias("end"),
+                F.when(fresh & (acc["end"] >= 0), closed(acc)).otherwise(acc["out"]).alias("out"),
+            )
+
+        begin = F.struct(F.lit(0.0).alias("total"), F.lit(-1).alias("start"), F.lit(-1).alias("end"), F.array().cast("array<struct<start:int,end:int>>").alias("out"))
+        return F.aggregate(F.sequence(F.lit(1), F.size(chars)), begin, step, lambda acc: F.when(acc["end"] >= 0, closed(acc)).otherwise(acc["out"]))
+
+    def closed(acc: Column) -> Column:
+        return F.concat(acc["out"], F.array(F.struct(acc["start"].alias("start"), acc["end"].alias("end"))))
+
+    done = F.element_at(F.transform(F.array(F.split(piece, "")), walk), 1)
     return F.transform(done, lambda s: F.struct((start + s["start"]).cast("int").alias("start"), (start + s["end"]).cast("int").alias("end")))
 
 
@@ -135,6 +140,14 @@ def _named(kind: str, rank: int):
     return lambda s: F.struct(F.lit(kind).alias("kind"), F.lit(rank).alias("rank"), s["start"].alias("start"), s["end"].alias("end"))
 
 
+def _not_allowed(text: Column, allowed: str):
+    def keep(s: Column) -> Column:
+        piece = F.substring(text, s["start"] + 1, s["end"] - s["start"])
+        return ~piece.rlike(allowed) & piece.rlike(UNLIKE_WORDS)
+
+    return keep
+
+
 def entropy_spans(text: Column, classes: tuple[Entropy, ...] = CLASSES, allow: tuple[str, ...] = ALLOW) -> Column:
     """Spans above the entropy of their class, without those that the allow-list names."""
     allowed = "|".join(f"(?:{a})" for a in allow)
@@ -143,7 +156,7 @@ def entropy_spans(text: Column, classes: tuple[Entropy, ...] = CLASSES, allow: t
         candidates = located(text, f"[{how.members}]{{{how.window},}}")
         found = F.flatten(F.transform(candidates, _each(how)))
         if allow:
-            found = F.filter(found, lambda s: ~F.substring(text, s["start"] + 1, s["end"] - s["start"]).rlike(allowed))
+            found = F.filter(found, _not_allowed(text, allowed))
         out.append(F.transform(found, _named(how.kind, rank)))
     return F.concat(*out)
 
