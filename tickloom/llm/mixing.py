@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from tickloom.llm.common import WORD, col, materialise, numbered, packed, unpacked, with_results
 
-ROWS_PER_RANGE = 50_000
+ROWS_PER_RANGE = 10_000
 
 
 def source_targets(sizes: DataFrame, weights: tuple[int, ...] = (1, 2, 3), max_epochs: int = 3) -> DataFrame:
@@ -98,9 +98,9 @@ def mix(
     copies = queued.where("size > 0 and target > 0").select(
         "size", "key", F.posexplode(F.array(*[finish(e) for e in range(max_epochs)])).alias("epoch", "finish")
     )
-    last = copies.agg(F.max("finish")).first()[0] or 1.0
-    bins = max(1, max_epochs * ranges)
-    binned = copies.withColumn("bin", F.floor(F.col("finish") / F.lit(last) * F.lit(bins)).cast("int"))
+    # Up to time 1 all sources send, so equal steps of time hold equal words; later ever fewer do.
+    v = F.col("finish")
+    binned = copies.withColumn("bin", F.floor(F.when(v <= 1, v * ranges).otherwise(ranges + F.log(v) * (max_epochs * ranges))).cast("int"))
     sent = _running(binned, [], "bin", "size", ["finish", "key", "size"], "mixed")
     cut = sent.where(F.col("mixed") <= F.lit(totals["budget"])).agg(F.max(F.struct("finish", "key", "size")).alias("cut")).first()["cut"]
     if cut is None:
