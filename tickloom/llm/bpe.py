@@ -11,7 +11,7 @@ from __future__ import annotations
 import base64
 import math
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickloom.llm.common import col, materialise, packed, with_results
+from tickloom.llm.common import col, packed, with_results
 
 #: A vocabulary is broadcast; larger files than this are refused.
 MAX_VOCABULARY_BYTES = 64 << 20
@@ -49,101 +49,132 @@ def unpack_numbers(data: bytes, n: int) -> np.ndarray:
     return np.ascontiguousarray(planes.reshape(4, n).T).view("<u4").reshape(n)
 
 
-def blocks_of(rows: DataFrame, pattern: str, buckets: int, block_bytes: int) -> DataFrame:
-    """Rows (text, row) to block rows, written once.
+def pack_words(words: list[bytes]) -> tuple[bytes, int, bytes]:
+    """Lengths, total length and bytes of words, compressed."""
+    whole = b"".join(words)
+    return pack_numbers(np.fromiter(map(len, words), np.uint32, len(words))), len(whole), pa.compress(whole, "zstd", asbytes=True)
 
-    Of a block there is a row per document (ord, row, n, positions), one with the bucket of each
-    distinct pre-token (ord -1, positions), and one per bucket with its pre-tokens (bucket, words).
-    Documents stay in the task that read them; a block ends at ``block_bytes`` of text.
+
+def unpack_words(n: int, lengths: bytes, n_bytes: int, data: bytes) -> list[str]:
+    whole = pa.decompress(data, n_bytes, "zstd", asbytes=True)
+    ends = np.cumsum(unpack_numbers(lengths, n), dtype=np.int64).tolist()
+    return [whole[a:b].decode() for a, b in zip([0, *ends], ends)]
+
+
+def blocks_of(rows: DataFrame, pattern: str, block_bytes: int) -> Callable[[Callable, T.StructType], DataFrame]:
+    """Cut rows (text, row) into blocks of ``block_bytes`` of text and give each to a function.
+
+    Documents stay in the task that read them. The function sees the block's number, the checksum of
+    its distinct pre-tokens, these in order of appearance, per document the positions of its
+    pre-tokens among them, and the rows.
     """
-    row_type = rows.schema["row"].dataType
-    schema = T.StructType(
-        [
-            T.StructField("block", T.LongType()),
-            T.StructField("ord", T.IntegerType()),
-            T.StructField("row", row_type),
-            T.StructField("n", T.IntegerType()),
-            T.StructField("positions", T.BinaryType()),
-            T.StructField("bucket", T.IntegerType()),
-            T.StructField("words", T.ArrayType(T.StringType())),
-        ]
-    )
-    row_arrow = rows.select("row").limit(0).toArrow().schema.field("row").type
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        split = regex.compile(pattern).findall
-        number = TaskContext.get().partitionId() << 32
-        index: dict[str, int] = {}
-        docs: list[tuple[int, bytes]] = []
-        kept: list[pa.Array] = []
-        size = 0
-
-        def batch_of(rows: int, /, **given: object) -> pa.RecordBatch:
-            types = {"block": pa.int64(), "ord": pa.int32(), "row": row_arrow, "n": pa.int32(), "positions": pa.binary(), "bucket": pa.int32(), "words": pa.list_(pa.string())}
-            arrays = [given.get(k) if isinstance(given.get(k), pa.Array) else pa.array(given.get(k, [None] * rows), t) for k, t in types.items()]
-            return pa.RecordBatch.from_arrays(arrays, list(types))
-
-        def flush() -> Iterator[pa.RecordBatch]:
-            n = len(docs)
-            row = pa.concat_arrays(kept)
-            yield batch_of(n, block=[number] * n, ord=list(range(n)), row=row, n=[d[0] for d in docs], positions=[d[1] for d in docs])
-            words = list(index)
-            of = np.fromiter((zlib.crc32(w.encode()) % buckets for w in words), np.int64, len(words))
-            yield batch_of(1, block=[number], ord=[-1], n=[len(words)], positions=[pack_numbers(of)])
-            order = np.argsort(of, kind="stable")
-            bounds = np.flatnonzero(np.diff(of[order])) + 1
-            for some in np.split(order, bounds) if len(words) else []:
-                yield batch_of(1, block=[number], bucket=[int(of[some[0]])], words=[[words[i] for i in some]])
+    def with_blocks(use: Callable, schema: T.StructType) -> DataFrame:
+        def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            split = regex.compile(pattern).findall
+            number = TaskContext.get().partitionId() << 32
+            index: dict[str, int] = {}
+            docs: list[np.ndarray] = []
+            kept: list[pa.Array] = []
+            size = 0
 
-        for batch in batches:
-            texts, row, first = batch.column(0).to_pylist(), batch.column(1), 0
-            for i, text in enumerate(texts):
-                found = [index.setdefault(w, len(index)) for w in split(text)]
-                docs.append((len(found), pack_numbers(np.array(found, np.uint32))))
-                size += len(text)
-                if size >= block_bytes:
-                    kept.append(row.slice(first, i + 1 - first))
-                    first = i + 1
-                    yield from flush()
-                    number, index, docs, kept, size = number + 1, {}, [], [], 0
-            if first < len(texts):
-                kept.append(row.slice(first))
-        if docs:
-            yield from flush()
-
-    return materialise(rows.select("text", "row").mapInArrow(cut, schema), "bpe-blocks")
+            def flush() -> Iterator[pa.RecordBatch]:
+                words = [w.encode() for w in index]
+                check = zlib.crc32(b"\0".join(words))
+                yield from use(number, check, words, docs, pa.concat_arrays(kept))
+
+            for batch in batches:
+                texts, row, first = batch.column(0).to_pylist(), batch.column(1), 0
+                for i, text in enumerate(texts):
+                    docs.append(np.array([index.setdefault(w, len(index)) for w in split(text)], np.uint32))
+                    size += len(text)
+                    if size >= block_bytes:
+                        kept.append(row.slice(first, i + 1 - first))
+                        first = i + 1
+                        yield from flush()
+                        number, index, docs, kept, size = number + 1, {}, [], [], 0
+                if first < len(texts):
+                    kept.append(row.slice(first))
+            if docs:
+                yield from flush()
+
+        return rows.select("text", "row").mapInArrow(cut, schema)
+
+    return with_blocks
+
+
+def bucket_of(words: list[bytes], buckets: int) -> np.ndarray:
+    return np.fromiter((zlib.crc32(w) % buckets for w in words), np.int64, len(words))
+
+
+def document_rows(with_blocks: Callable, row_type: T.DataType, row_arrow: pa.DataType, buckets: int) -> DataFrame:
+    """(block, check, ord, row, n, positions) per document; ord -1 has the bucket of each pre-token."""
+
+    def use(number: int, check: int, words: list[bytes], docs: list[np.ndarray], row: pa.Array) -> Iterator[pa.RecordBatch]:
+        names = ["block", "check", "ord", "row", "n", "positions"]
+        types = (pa.int64(), pa.int64(), pa.int32(), None, pa.int32(), pa.binary())
+        of = bucket_of(words, buckets)
+        n = len(docs)
+        for values in (
+            ([number] * n, [check] * n, range(n), row, [len(d) for d in docs], [pack_numbers(d) for d in docs]),
+            ([number], [check], [-1], pa.nulls(1, row_arrow), [len(of)], [pack_numbers(of)]),
+        ):
+            yield pa.RecordBatch.from_arrays([v if isinstance(v, pa.Array) else pa.array(v, t) for v, t in zip(values, types)], names)
+
+    fields = [("block", T.LongType()), ("check", T.LongType()), ("ord", T.IntegerType()), ("row", row_type), ("n", T.IntegerType()), ("positions", T.BinaryType())]
+    return with_blocks(use, T.StructType([T.StructField(*f) for f in fields]))
+
+
+WORD_ROWS = "block long, check long, bucket int, n int, lengths binary, n_bytes long, data binary"
+
+
+def word_rows(with_blocks: Callable, buckets: int) -> DataFrame:
+    """A row per block and bucket with the block's pre-tokens in that bucket."""
+
+    def use(number: int, check: int, words: list[bytes], docs: list[np.ndarray], row: pa.Array) -> Iterator[pa.RecordBatch]:
+        of = bucket_of(words, buckets)
+        order = np.argsort(of, kind="stable")
+        for some in np.split(order, np.flatnonzero(np.diff(of[order])) + 1) if len(words) else []:
+            values = (number, check, int(of[some[0]]), len(some), *pack_words([words[i] for i in some]))
+            types = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.int64(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(values, types)], [f.split()[0] for f in WORD_ROWS.split(", ")])
+
+    return with_blocks(use, WORD_ROWS)
 
 
 def encode_words(words: DataFrame, ranks: object, pattern: str, buckets: int) -> DataFrame:
-    """Rows (bucket, block, words) to (block, bucket, n, lengths, ids): each distinct pre-token of a bucket is encoded once."""
+    """Ids of the pre-tokens of each block and bucket: each distinct pre-token of a bucket is encoded once."""
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoding, now, known = None, None, {}
         for batch in batches:
-            for bucket, block, some in zip(*[c.to_pylist() for c in batch.columns]):
+            for block, check, bucket, n, *packed_words in zip(*[c.to_pylist() for c in batch.columns]):
                 if encoding is None:
                     encoding = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks.value, special_tokens={})
                 if bucket != now:
                     now, known = bucket, {}
+                some = unpack_words(n, *packed_words)
                 for w in some:
                     if w not in known:
                         known[w] = encoding.encode_ordinary(w)
                 ids = [known[w] for w in some]
-                lengths = np.fromiter(map(len, ids), np.uint32, len(ids))
+                lengths = np.fromiter(map(len, ids), np.uint32, n)
                 flat = np.fromiter((i for x in ids for i in x), np.uint32, int(lengths.sum()))
-                values = ([block], [bucket], [len(ids)], [pack_numbers(lengths)], [len(flat)], [pack_numbers(flat)])
-                types = (pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.int64(), pa.binary())
-                yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(values, types)], ["block", "bucket", "n", "lengths", "n_ids", "ids"])
+                values = (block, check, bucket, n, pack_numbers(lengths), len(flat), pack_numbers(flat))
+                types = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.int64(), pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(values, types)], ["block", "check", "bucket", "n", "lengths", "n_ids", "ids"])
 
     dealt = words.repartition(buckets, "bucket").sortWithinPartitions("bucket")
-    return dealt.mapInArrow(encode, "block long, bucket int, n int, lengths binary, n_ids long, ids binary")
+    return dealt.mapInArrow(encode, "block long, check long, bucket int, n int, lengths binary, n_ids long, ids binary")
 
 
 def put_together(docs: pa.Table, encoded: pa.Table) -> tuple[pa.Array, pa.Array]:
     """The documents of one block: their rows, and their ids as lists."""
     head = docs.filter(pc.equal(docs["ord"], -1))
-    docs = docs.filter(pc.greater_equal(docs["ord"], 0)).combine_chunks()
+    docs = docs.filter(pc.greater_equal(docs["ord"], 0))
     row = docs["row"].combine_chunks()
+    if len(head) != 1 or len({*head["check"].to_pylist(), *docs["check"].to_pylist(), *encoded["check"].to_pylist()}) != 1:
+        raise ValueError("the rows came in another order when they were read again; write them to a table first")
     of = unpack_numbers(head["positions"][0].as_py(), head["n"][0].as_py())
     encoded = encoded.sort_by("bucket").to_pylist()
     lengths = np.concatenate([unpack_numbers(e["lengths"], e["n"]) for e in encoded]).astype(np.int64) if encoded else np.zeros(0, np.int64)
@@ -184,7 +215,8 @@ def encode(
     * A text longer than ``block_bytes`` is a block of its own.
 
     A pre-token in every text reaches its bucket once a block. A task holds a block, or the distinct
-    pre-tokens of a bucket.
+    pre-tokens of a bucket. The table is read twice and must give its rows in the same order, as files
+    do; checksums of the blocks turn anything else into an error.
     """
     names = docs.columns if columns is None else columns
     spark = docs.sparkSession
@@ -193,14 +225,15 @@ def encode(
     total = docs.agg(F.sum(F.octet_length(text).cast("long"))).first()[0] or 0
     buckets = max(1, math.ceil(total / bucket_bytes))
     rows = docs.select(text.alias("text"), packed(docs, names).alias("row"))
-    blocks = blocks_of(rows, pattern, buckets, block_bytes)
-    encoded = encode_words(blocks.where("bucket is not null").select("bucket", "block", "words"), ranks, pattern, buckets)
+    row_arrow = rows.select("row").limit(0).toArrow().schema.field("row").type
+    with_blocks = blocks_of(rows, pattern, block_bytes)
+    documents = document_rows(with_blocks, rows.schema["row"].dataType, row_arrow, buckets)
+    encoded = encode_words(word_rows(with_blocks, buckets), ranks, pattern, buckets)
     schema = T.StructType([rows.schema["row"], T.StructField("ids", T.ArrayType(T.IntegerType()))])
 
     def join(docs: pa.Table, encoded: pa.Table) -> pa.Table:
         return pa.table(dict(zip(("row", "ids"), put_together(docs, encoded))))
 
-    documents = blocks.where("ord is not null").select("block", "ord", "row", "n", "positions")
     whole = documents.groupBy("block").cogroup(encoded.groupBy("block")).applyInArrow(join, schema)
     return with_results(whole, "row", names, {"ids": F.col("ids")})
 
