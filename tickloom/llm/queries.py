@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tickloom.llm.bpe import decode, encode
 from tickloom.llm.common import table
 from tickloom.llm.exact_dedup import exact_dedup
+from tickloom.llm.minhash import near_duplicates
 from tickloom.llm.mixing import mix
 from tickloom.llm.secrets import joined, scan_secrets
 from tickloom.llm.sharding import shuffle_into_shards
@@ -19,6 +20,11 @@ from tickloom.llm.warc import read_warc, resolved, write_warc
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
+def op2_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents with a similarity of 0.85 or more."""
+    return near_duplicates(table(spark, sf_dir, "documents"), columns=["doc_id"], percent=85)
+
+
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page after a round trip through WARC files."""
     pages = table(spark, sf_dir, "pages")
@@ -71,6 +77,7 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_minhash_dedup": op2_minhash_dedup,
     "op5_warc": op5_warc,
     "op6_shard": op6_shard,
     "op7_secret_scan": op7_secret_scan,
