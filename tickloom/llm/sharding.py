@@ -17,10 +17,11 @@ from pyspark.sql import functions as F
 from tickloom.llm.common import col, materialise, packed, with_results
 
 LAW = "rows"
+MAX_BROADCAST = 1_000_000
 
 
-def scatter(docs: DataFrame, names: list[str], id_col: str, text_col: str, seed: int, bucket_bytes: int) -> DataFrame:
-    """Pass one: rows (bucket, mark, id, size, crc, row).
+def scatter(docs: DataFrame, names: list[str], id_col: str, text_col: str, seed: int, bucket_bytes: int) -> tuple[DataFrame, int]:
+    """Pass one: rows (bucket, mark, id, size, crc, row), and the number of buckets.
 
     The hash sees the number of the input partition too, so an id that very many rows repeat is
     spread over as many buckets as it has partitions, and a task that runs again sends every row
@@ -36,7 +37,7 @@ def scatter(docs: DataFrame, names: list[str], id_col: str, text_col: str, seed:
     total = docs.agg(F.sum(F.coalesce(F.octet_length(col(text_col).cast("string")), F.lit(0)).cast("long") + 8)).first()[0] or 0
     buckets = max(1, math.ceil(total / bucket_bytes))
     mark = F.xxhash64(F.lit(seed), F.spark_partition_id(), F.col("id"), F.col("crc"))
-    return rows.withColumn("mark", mark).withColumn("bucket", F.pmod("mark", F.lit(buckets)))
+    return rows.withColumn("mark", mark).withColumn("bucket", F.pmod("mark", F.lit(buckets))), buckets
 
 
 def shuffle_buckets(rows: DataFrame, seed: int) -> DataFrame:
@@ -78,7 +79,8 @@ def shuffle_into_shards(
     a bucket's size by itself. The driver sees the total of bytes only.
     """
     names = docs.columns if columns is None else columns
-    written = shuffle_buckets(scatter(docs, names, id_col, text_col, seed, bucket_bytes), seed)
+    rows, buckets = scatter(docs, names, id_col, text_col, seed, bucket_bytes)
+    written = shuffle_buckets(rows, seed)
     counts = written.groupBy("bucket").agg(F.count("*").alias("n"))
     before = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select(
@@ -86,6 +88,8 @@ def shuffle_into_shards(
         F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"),
         F.sum("n").over(Window.partitionBy()).alias("total"),
     )
+    if buckets <= MAX_BROADCAST:  # three numbers a bucket; more of them meet by a shuffle
+        starts = F.broadcast(starts)
     placed = written.join(starts, F.col("bucket") == F.col("of_bucket")).withColumn("at", F.col("first") + F.col("place"))
     placed = placed.withColumn("shard", F.expr(f"(at * {shards}) div total").cast("int"))
     # Shard s starts at the first position whose shard is s: s * total / shards, rounded up.
