@@ -5,12 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom.llm.bpe import decode, encode
 from tickloom.llm.common import table
 from tickloom.llm.exact_dedup import exact_dedup
+from tickloom.llm.language import identify, train
 from tickloom.llm.minhash import near_duplicates
 from tickloom.llm.mixing import mix
 from tickloom.llm.secrets import joined, scan_secrets
@@ -20,6 +21,19 @@ from tickloom.llm.warc import read_warc, resolved, write_warc
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
+def in_fold(held_out: bool) -> Column:
+    """Documents are held out of training where crc32 of the id as text, modulo 4, is 2."""
+    two = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 4 == 2
+    return two if held_out else ~two
+
+
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from those that aren't held out."""
+    docs = table(spark, sf_dir, "documents")
+    found = identify(docs, train(docs.where(in_fold(False))), columns=["doc_id"])
+    return found.select("doc_id", in_fold(True).alias("held_out"), "lang_pred", "score")
+
+
 def op2_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents with a similarity of 0.85 or more."""
     return near_duplicates(table(spark, sf_dir, "documents"), columns=["doc_id"], percent=85)
@@ -77,6 +91,7 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_language_id": op1_language_id,
     "op2_minhash_dedup": op2_minhash_dedup,
     "op5_warc": op5_warc,
     "op6_shard": op6_shard,
