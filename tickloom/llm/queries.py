@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tickloom.llm import embeddings
 from tickloom.llm.bpe import decode, encode
 from tickloom.llm.common import table
 from tickloom.llm.exact_dedup import exact_dedup
@@ -39,6 +40,11 @@ def op2_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), columns=["doc_id"], percent=85)
 
 
+def op4_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of vectors with a cosine of 0.95 or more."""
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"), columns=["vec_id"])
+
+
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page after a round trip through WARC files."""
     pages = table(spark, sf_dir, "pages")
@@ -93,6 +99,7 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_minhash_dedup": op2_minhash_dedup,
+    "op4_embedding_dedup": op4_embedding_dedup,
     "op5_warc": op5_warc,
     "op6_shard": op6_shard,
     "op7_secret_scan": op7_secret_scan,
