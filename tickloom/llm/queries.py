@@ -15,6 +15,7 @@ from tickloom.llm.exact_dedup import exact_dedup
 from tickloom.llm.language import identify, train
 from tickloom.llm.minhash import near_duplicates
 from tickloom.llm.mixing import mix
+from tickloom.llm.passages import repeated_passages
 from tickloom.llm.secrets import joined, scan_secrets
 from tickloom.llm.sharding import shuffle_into_shards
 from tickloom.llm.warc import read_warc, resolved, write_warc
@@ -40,6 +41,11 @@ def op2_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), columns=["doc_id"], percent=85)
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages of 50 words or more that another document repeats with a similarity of 0.8 or more."""
+    return repeated_passages(table(spark, sf_dir, "documents"))
+
+
 def op4_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links and components of vectors with a cosine of 0.95 or more."""
     return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"), columns=["vec_id"])
@@ -99,6 +105,7 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_minhash_dedup": op2_minhash_dedup,
+    "op3_substring_dedup": op3_substring_dedup,
     "op4_embedding_dedup": op4_embedding_dedup,
     "op5_warc": op5_warc,
     "op6_shard": op6_shard,
