@@ -5,43 +5,63 @@ place keeps its smallest value; rounds end when all places are full. From round
 to place i - t, so 2 t rounds fill every place of any set that isn't empty. Equal places estimate
 the Jaccard similarity with the concentration of independent draws.
 
-Candidates share a band of the sketch. A bucket's smallest member is its hub: first all members are
-verified against their hubs, which joins groups of near copies without any pair inside them. Only
-buckets whose members are then in several components have their remaining pairs compared, in blocks
-of bounded size; what the sketches don't rule out is verified on full sets as well.
+Candidates share a band of the sketch. Some rounds give each bucket a hub and verify its members
+against it, which joins groups of near copies without any pair inside them. Only buckets whose
+members are then in several components have their pairs across components compared, in blocks of
+bounded size: first the most alike of each member, whose links join more, then all that is left and
+that sizes and sketches don't rule out. Whatever is linked was verified on full sets.
 """
 
 from __future__ import annotations
 
+import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tickloom.llm.common import SPACES, col, components, materialise, numbered, packed, unpacked, with_results
+from tickloom.llm.common import col, components, materialise, numbered, packed, unpacked, with_results
 
 WIDTH = 5
 BANDS, ROWS = 24, 5
 PLACES = BANDS * ROWS
-#: A link of similarity 0.8 or more has fewer equal places than this with a chance below 1e-5.
-LEAST_EQUAL = 76
+HUB_ROUNDS = 3
+NEAREST = 4
 BLOCK = 256
 CHUNK_BYTES = 4 << 20
 BASE = 0x9E3779B97F4A7C15 | 1
 INVERSE = pow(BASE, -1, 1 << 64)
 
 
-def normal_words(text: Column) -> Column:
-    """A-Z in lower case, words joined by single spaces; null as empty."""
-    lower = F.translate(F.coalesce(text.cast("string"), F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    return F.trim(F.regexp_replace(lower, SPACES, " "))
+LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
 
-def class_key(words: Column) -> Column:
+def normal(text: str | None) -> bytes:
+    """A-Z in lower case, words joined by single spaces; null as empty. Splits at bytes 9 to 13 and 32."""
+    return b" ".join((text or "").encode().translate(LOWER).split())
+
+
+def class_key(words: bytes) -> bytes:
     """Copies have one key: 16 bytes of SHA-256."""
-    return F.substring(F.unhex(F.sha2(F.encode(words, "UTF-8"), 256)), 1, 16)
+    return hashlib.sha256(words).digest()[:16]
+
+
+def normalised(rows: DataFrame) -> DataFrame:
+    """Rows (text, ...) to (key, words, ...)."""
+    rest = [c for c in rows.columns if c != "text"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            words = [normal(t) for t in batch["text"].to_pylist()]
+            keys = pa.array([class_key(w) for w in words], pa.binary())
+            yield pa.RecordBatch.from_arrays([keys, pa.array(words, pa.binary()).cast(pa.string()), *[batch[c] for c in rest]], ["key", "words", *rest])
+
+    schema = T.StructType([T.StructField("key", T.BinaryType()), T.StructField("words", T.StringType()), *[rows.schema[c] for c in rest]])
+    return rows.mapInArrow(run, schema)
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -128,31 +148,38 @@ def band_keys(sketch: np.ndarray, bands: int = BANDS) -> np.ndarray:
 
 
 def sketched(rows: DataFrame) -> DataFrame:
-    """Rows (key, words, id, row) to (key, id, row, n, bands, sketch)."""
-    kinds = rows.select("key", "id", "row")
-    schema = kinds.selectExpr("*", "0L n", "array(0L) bands", "unhex('') sketch").schema
+    """Rows (text, id, row) to (key, id, row, n, bands, sketch)."""
+    schema = rows.selectExpr("unhex('') key", "id", "row", "0L n", "array(0L) bands", "unhex('') sketch").schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes = np.cumsum(pa.compute.binary_length(batch["words"]).to_numpy(zero_copy_only=False))
+            words = [normal(t) for t in batch["text"].to_pylist()]
+            sizes = np.cumsum([len(w) for w in words])
             first = 0
             while first < len(batch):
                 so_far = sizes[first - 1] if first else 0
                 last = max(first + 1, int(np.searchsorted(sizes, so_far + CHUNK_BYTES, "right")))
-                part = batch.slice(first, last - first)
-                doc, hashes = distinct_shingles(part["words"])
+                some, part = words[first:last], batch.slice(first, last - first)
+                doc, hashes = distinct_shingles(pa.array(some, pa.large_binary()).cast(pa.large_string()))
                 n = np.bincount(doc, minlength=len(part))
                 sketch = sketches(doc, hashes, len(part))
                 offsets = pa.array(np.concatenate([[0], np.cumsum(np.where(n > 0, BANDS, 0))]).astype(np.int32))
                 bands = pa.ListArray.from_arrays(offsets, pa.array(band_keys(sketch)[n > 0].ravel()))
                 short = (mixed(sketch) & np.uint64(0xFFFF)).astype("<u2")
+                keys = pa.array([class_key(w) for w in some], pa.binary())
                 yield pa.RecordBatch.from_arrays(
-                    [part["key"], part["id"], part["row"], pa.array(n, pa.int64()), bands, pa.array([r.tobytes() for r in short], pa.binary())],
+                    [keys, part["id"], part["row"], pa.array(n, pa.int64()), bands, pa.array([r.tobytes() for r in short], pa.binary())],
                     ["key", "id", "row", "n", "bands", "sketch"],
                 )
                 first = last
 
-    return rows.select("key", "words", "id", "row").mapInArrow(run, schema)
+    return rows.select("text", "id", "row").mapInArrow(run, schema)
+
+
+def least_equal(percent: int) -> int:
+    """A link of this similarity has fewer equal places with a chance below 1e-5."""
+    p = percent / 100.0
+    return math.floor(PLACES * p - 4.5 * math.sqrt(PLACES * p * (1.0 - p)))
 
 
 def alike(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
@@ -160,27 +187,42 @@ def alike(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     side = lambda x: classes.select(F.col("key").alias(x), F.col("n").alias(f"n_{x}"), F.col("sketch").alias(f"sketch_{x}"))
     both = pairs.join(side("a"), "a").join(side("b"), "b")
     both = both.where(F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent)
+    least = least_equal(percent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x, y = (np.frombuffer(b"".join(batch[c].to_pylist()), "<u2").reshape(len(batch), PLACES) for c in ("sketch_a", "sketch_b"))
-            yield batch.select(["a", "b"]).filter(pa.array((x == y).sum(axis=1) >= LEAST_EQUAL))
+            yield batch.select(["a", "b"]).filter(pa.array((x == y).sum(axis=1) >= least))
 
     return both.select("a", "b", "sketch_a", "sketch_b").mapInArrow(run, "a binary, b binary")
 
 
-def rest_of_buckets(bands: DataFrame, classes: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
-    """Pairs across components in buckets that hold several: what sizes and sketches don't rule out.
+def in_components(bands: DataFrame, groups: DataFrame) -> DataFrame:
+    """Rows (key, band, component) of the buckets that hold several components."""
+    own = bands.join(groups.select(F.col("node").alias("key"), "component"), "key", "left").withColumn("component", F.coalesce("component", "key"))
+    several = own.groupBy("band").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("m")).where("lo <> hi")
+    return own.join(several.select("band", "m"), "band")
+
+
+def with_hubs(members: DataFrame, turn: int) -> DataFrame:
+    """Pairs (a, b) of each member and the hub of its bucket; another member is the hub in each round."""
+    order = F.struct(F.xxhash64("key", F.lit(turn)).alias("at"), "key", "component")
+    hubs = members.groupBy("band").agg(F.min(order).alias("hub"))
+    both = members.join(hubs, "band").where(F.col("component") != F.col("hub.component"))
+    return both.select(F.col("key").alias("a"), F.col("hub.key").alias("b")).distinct()
+
+
+def rest_of_buckets(members: DataFrame, classes: DataFrame, percent: int, nearest: int | None) -> DataFrame:
+    """Pairs (a, b) across components that sizes and sketches don't rule out, or of each member the ``nearest``.
 
     A bucket of m members is dealt into m / BLOCK parts, and every two parts meet in a group of their
     own, so no task sees a whole bucket; a pair comes out once for each bucket it shares.
     """
-    own = bands.join(groups.select(F.col("node").alias("key"), "component"), "key", "left").withColumn("component", F.coalesce("component", "key"))
-    several = own.groupBy("band").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("m")).where("lo <> hi")
-    members = own.join(several.select("band", F.ceil(F.col("m") / BLOCK).cast("int").alias("parts")), "band")
+    members = members.withColumn("parts", F.ceil(F.col("m") / BLOCK).cast("int"))
     members = members.join(classes.select("key", "n", "sketch"), "key").withColumn("part", F.pmod(F.xxhash64("key", F.lit(7)), "parts").cast("int"))
     dealt = members.withColumn("other", F.explode(F.expr("sequence(0, parts - 1)")))
     dealt = dealt.select("band", F.least("part", "other").alias("x"), F.greatest("part", "other").alias("y"), "part", "key", "component", "n", "sketch")
+    least = least_equal(percent)
 
     def compare(table: list[tuple]) -> Iterator[tuple[bytes, bytes]]:
         _, x, y = table[0][:3]
@@ -194,7 +236,9 @@ def rest_of_buckets(bands: DataFrame, classes: DataFrame, groups: DataFrame, per
         fits = (np.minimum.outer(na, nb) * 100 >= np.maximum.outer(na, nb) * percent) & (ca[:, None] != cb[None, :])
         for i in np.flatnonzero(fits.any(axis=1)):
             at = np.flatnonzero(fits[i])
-            for j in at[(a[i] == b[at]).sum(axis=1) >= LEAST_EQUAL]:
+            equal = (a[i] == b[at]).sum(axis=1)
+            at, equal = at[equal >= least], equal[equal >= least]
+            for j in at[np.argsort(-equal, kind="stable")[:nearest]]:
                 p, q = left[i][4], right[j][4]
                 yield (max(p, q), min(p, q))
 
@@ -224,20 +268,16 @@ def shingle_set(words: str, width: int = WIDTH) -> set[str]:
     return {" ".join(w[i : i + width]) for i in range(max(1, len(w) - width + 1))} if w else set()
 
 
-def verified(pairs: DataFrame, rows: DataFrame, classes: DataFrame, percent: int, group: int = 64) -> DataFrame:
-    """The pairs (a, b) whose full sets are similar enough.
+def verified(pairs: DataFrame, texts: DataFrame, percent: int, group: int = 64) -> DataFrame:
+    """The pairs (a, b) whose full sets are similar enough; ``texts`` has (key, words).
 
     Members meet their common b in groups of about ``group``, so b travels once a group and no hub
     gathers all its members in one task.
     """
     counts = pairs.groupBy("b").agg(F.ceil(F.count("*") / group).cast("int").alias("groups"))
     asked = pairs.join(counts, "b").select("b", F.pmod(F.xxhash64("a", F.lit(3)), "groups").cast("int").alias("g"), "a")
-    asked = materialise(asked, "minhash-asked")
     members = asked.select("b", "g", F.col("a").alias("key"), F.lit(1).alias("turn"))
     members = members.unionByName(asked.select("b", "g").distinct().select("b", "g", F.col("b").alias("key"), F.lit(0).alias("turn")))
-    needed = members.select("key").distinct().join(classes.select("key", F.col("rep").alias("id")), "key")
-    texts = rows.select("key", "id", "words").join(needed.withColumnRenamed("key", "of_key").withColumnRenamed("id", "of_id"), (F.col("key") == F.col("of_key")) & F.col("id").eqNullSafe(F.col("of_id")))
-    texts = texts.groupBy("key").agg(F.first("words").alias("words"))
     joined = members.join(texts, "key").select("b", "g", "turn", "key", "words")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -285,24 +325,36 @@ def near_duplicates(
     if not 80 <= percent <= 100:
         raise ValueError("percent is 80 to 100")
     names = docs.columns if columns is None else columns
-    words = normal_words(col(text_col))
-    rows = docs.select(words.alias("words"), col(id_col).alias("id"), packed(docs, names).alias("row")).withColumn("key", class_key(F.col("words")))
+    rows = docs.select(col(text_col).cast("string").alias("text"), col(id_col).alias("id"), packed(docs, names).alias("row"))
     known = materialise(sketched(rows).withColumn("uid", F.monotonically_increasing_id()), "minhash-sketches")
     classes = known.where("n > 0").groupBy("key").agg(
         F.first("n").alias("n"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"), F.min(F.struct(F.col("id").isNull().alias("missing"), "id")).alias("rep")
     )
     classes = materialise(classes.select("key", "n", "bands", "sketch", F.col("rep.id").alias("rep")), "minhash-classes")
     bands = classes.select("key", F.explode("bands").alias("band"))
-    hubs = bands.groupBy("band").agg(F.min("key").alias("hub"), F.count("*").alias("m")).where("m > 1").select("band", "hub")
-    shared = materialise(bands.join(hubs, "band"), "minhash-shared")
-    first = shared.where("key <> hub").select(F.col("key").alias("a"), F.col("hub").alias("b")).distinct()
-    first = materialise(alike(first, classes, percent), "minhash-candidates")
-    links = materialise(verified(first, rows, classes, percent), "minhash-links")
-    groups = components(links)
-    rest = rest_of_buckets(shared.select("key", "band"), classes, groups, percent)
-    rest = materialise(rest.join(first, ["a", "b"], "left_anti"), "minhash-candidates")
-    if not rest.isEmpty():
-        groups = components(links.unionByName(verified(rest, rows, classes, percent)))
+    several = bands.groupBy("band").agg(F.count("*").alias("m")).where("m > 1").select("band")
+    shared = materialise(bands.join(several, "band"), "minhash-shared")
+    # The texts of all that have a candidate, once each.
+    needed = shared.select("key").distinct().join(classes.select("key", "rep"), "key").select(F.col("key").alias("of_key"), "rep")
+    texts = normalised(rows.select("text", "id")).join(needed, (F.col("key") == F.col("of_key")) & F.col("id").eqNullSafe(F.col("rep")))
+    texts = materialise(texts.groupBy("key").agg(F.first("words").alias("words")), "minhash-texts")
+
+    links = tested = classes.selectExpr("key a", "key b").limit(0)
+    groups = classes.selectExpr("key node", "key component").limit(0)
+    for turn in range(HUB_ROUNDS + 2):
+        members = in_components(shared, groups)
+        if turn < HUB_ROUNDS:
+            pairs = alike(with_hubs(members, turn), classes, percent)
+        else:
+            pairs = rest_of_buckets(members, classes, percent, NEAREST if turn == HUB_ROUNDS else None)
+        pairs = pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+        pairs = materialise(pairs.join(tested, ["a", "b"], "left_anti") if turn else pairs, "minhash-candidates")
+        if pairs.isEmpty():
+            continue
+        tested = tested.unionByName(pairs) if turn else pairs
+        found = materialise(verified(pairs, texts, percent), "minhash-links")
+        links = links.unionByName(found) if turn else found
+        groups = materialise(components(links), "minhash-groups")
     labels = known.join(groups.select(F.col("node").alias("key"), "component"), "key", "left").withColumn("component", F.coalesce("component", "key"))
     labels = labels.select("uid", "id", "row", "n", "component")
     reps = labels.where("n > 0").groupBy("component").agg(F.min(F.struct(F.col("id").isNull().alias("missing"), "id", "uid")).alias("rep"))
