@@ -201,7 +201,7 @@ def encode(
     pattern: str,
     text_col: str = "text",
     columns: list[str] | None = None,
-    block_bytes: int = 16 << 20,
+    block_bytes: int = 4 << 20,
     bucket_bytes: int = 64 << 20,
 ) -> DataFrame:
     """Encode every text; returns ``columns`` (all by default) and ids, an array of integers.
