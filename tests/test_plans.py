@@ -7,6 +7,7 @@ from datetime import date, datetime
 import pytest
 
 from tickloom.config import Lakehouse, shared_folder
+from tickloom.functions.partitions import touched_by
 from tickloom.operators import history, indicators, quality
 from tickloom.operators.bars import daily_bars
 from tickloom.operators.upsert import merge_rows, upsert
@@ -95,3 +96,15 @@ def test_no_plan_pairs_everything_or_leaves_the_jvm(spark, name):
     text = plan(batch.QUERIES[name](spark, SF))
     for node in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython", "SinglePartition, REPARTITION"):
         assert node not in text
+
+
+def test_smoothing_sorts_few_times(bars_table):
+    assert plan(indicators.daily_indicators(bars_table)).count("Sort [") <= 3
+
+
+def test_partitions_are_pruned_for_any_number_of_changes(spark, bars_table):
+    some = bars_table.filter("date BETWEEN DATE '1993-01-01' AND DATE '1997-12-31'")
+    text = plan(touched_by(bars_table, some, ["year", "month"]))
+    filters = text.split("PartitionFilters: ")[1].split("PushedFilters")[0]
+    first = some.agg({"year": "min"}).first()[0]
+    assert f">= {first}" in filters and "<= 1997" in filters

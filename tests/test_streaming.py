@@ -1,21 +1,27 @@
 from __future__ import annotations
 
+import glob
+import os
+import time
 import uuid
 from datetime import date, datetime, timedelta
 
 import pytest
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tickloom.config import Lakehouse, shared_folder
 from tickloom.operators import indicators
 from tickloom.operators.bars import daily_bars
-from tickloom.operators.upsert import upsert
+from tickloom.operators.upsert import feed_path, upsert
+from tickloom.plans.gold import refreshed_indicators
 from tickloom.plans.landing import land
 from tickloom.plans.setup import refresh_partitions, set_up
 from tickloom.schemas import DQ_LOG, FUNDAMENTALS_FEED, PRICE_FEED, TABLES
-from tickloom.sinks.files import drain_batches, drain_to_table, write_batch
-from tickloom.sources.tables import read_table, select_all, stream_catalog_table
+from tickloom.sinks.files import batch_tag, drain_batches, drain_to_table, write_batch
+from tickloom.sources.feeds import stream_feed
+from tickloom.sources.tables import read_table, select_all, stream_catalog_table, stream_table
 from tickloom.streaming import bronze, gold, silver
 
 NOON = datetime(2024, 1, 10, 12)
@@ -42,7 +48,7 @@ def deliver(rows, lake, key):
 
 
 def stored(spark, lake, key):
-    return read_table(spark, lake.path(key), TABLES[key].schema)
+    return read_table(spark, lake.path(key), TABLES[key].schema, missing_ok=True)
 
 
 def symbols(spark, *names):
@@ -172,13 +178,81 @@ def test_prices_are_unique_within_a_batch_only(spark, lake):
     assert stored(spark, lake, "silver.prices").count() == 2
 
 
-def test_a_second_checkpoint_adds_and_a_replay_replaces(spark, lake):
+def test_a_second_checkpoint_adds_and_a_replay_keeps_what_is_there(spark, lake):
     key = "silver.prices"
     rows = prices(spark, [("A", 1.0, NOON)]).withColumn("market_cap", F.lit(1).cast("long"))
     path, parts = lake.path(key), TABLES[key].partition_by
+    files = set()
     for tag in ("q1-0", "q1-0", "q2-0"):
         write_batch(rows, path, parts, tag)
-    assert stored(spark, lake, key).count() == 2
+        files |= {r[0] for r in spark.read.parquet(path).select("_metadata.file_name").distinct().collect()}
+    assert stored(spark, lake, key).count() == 2 and len(files) == 2
+
+
+def test_a_batch_without_its_marker_is_replaced(spark, lake):
+    key = "silver.prices"
+    rows = prices(spark, [("A", 1.0, NOON)]).withColumn("market_cap", F.lit(1).cast("long"))
+    path, parts = lake.path(key), TABLES[key].partition_by
+    rows.withColumn("batch_tag", F.lit("q1-0")).write.partitionBy(*parts, "batch_tag").parquet(path)
+    write_batch(rows, path, parts, "q1-0")
+    assert stored(spark, lake, key).count() == 1
+
+
+def test_a_bronze_replay_does_not_reach_silver_and_bars(spark, lake):
+    rows = prices(spark, [("A", 1.0, NOON), ("A", 3.0, NOON)])
+    for _ in range(2):
+        write_batch(rows, lake.path("bronze.prices"), TABLES["bronze.prices"].partition_by, "q-0")
+        silver.refine_prices(spark, lake, symbols(spark, "A"), gate="log", as_of=NOON)
+        silver.roll_daily_bars(spark, lake)
+    assert stored(spark, lake, "silver.prices").count() == 2
+    assert stored(spark, lake, "logging.dq_log").count() == 6
+    assert bars_by_key(stored(spark, lake, "silver.daily_price_aggregates"))["A", NOON.date()] == (2.0, 30.0)
+
+
+def test_a_retried_gate_leaves_the_log_unchanged(spark, lake):
+    deliver(prices(spark, [("A", -1.0, NOON)]), lake, "bronze.prices")
+    for _ in range(2):
+        with pytest.raises(StreamingQueryException):
+            silver.refine_prices(spark, lake, symbols(spark, "A"), as_of=NOON)
+        assert stored(spark, lake, "logging.dq_log").count() == 1
+
+
+def test_a_batch_tag_needs_a_query(spark):
+    with pytest.raises(RuntimeError, match="streaming query"):
+        batch_tag(spark.range(1), 0)
+
+
+@pytest.mark.parametrize("kind", ["csv", "parquet"])
+def test_a_file_ten_days_older_than_the_newest_arrives(spark, lake, kind):
+    folder = f"{lake.root}/late"
+    seen = []
+    for i, age in enumerate((0, 6, 10, 0)):
+        getattr(spark.createDataFrame([(i,)], "n int").write.mode("append"), kind)(folder, **({"header": True} if kind == "csv" else {}))
+        for name in glob.glob(f"{folder}/part-*"):
+            if name not in seen:
+                os.utime(name, (time.time() - age * 86400,) * 2)
+                seen.append(name)
+        schema = StructType().add("n", "integer")
+        stream = stream_feed(spark, folder, schema) if kind == "csv" else stream_table(spark, folder, schema)
+        drain_to_table(stream, f"{lake.root}/taken", [], lake.checkpoint("late"))
+        assert spark.read.parquet(f"{lake.root}/taken").count() == i + 1
+
+
+def test_one_corrected_bar_recomputes_its_symbol_alone(spark, lake):
+    key = "silver.daily_price_aggregates"
+    spec, path = TABLES[key], lake.path(key)
+    one = daily(spark, 60)
+    bars = one.unionByName(one.withColumn("symbol", F.lit("B")))
+    upsert(bars, path, spec)
+    first = spark.read.parquet(feed_path(path)).count()
+    upsert(bars.withColumn("avg_price", F.when(F.expr("symbol = 'B' AND date = '2024-02-10'"), 1.0).otherwise(F.col("avg_price"))), path, spec)
+    assert first == 120 and spark.read.parquet(feed_path(path)).count() == 121
+    gold.roll_indicators(spark, lake, order="oldest_first")
+    upsert(bars, path, spec)
+    newest = spark.read.parquet(feed_path(path)).groupBy("batch_tag").count().filter("count = 1").count()
+    assert newest == 2
+    wanted = refreshed_indicators(spark.createDataFrame([("B", date(2024, 2, 10))], "symbol string, date date"), read_table(spark, path, spec.schema), stored(spark, lake, "gold.daily_price_indicators"), order="oldest_first")
+    assert {r["symbol"] for r in wanted.collect()} == {"B"} and wanted.count() == 20
 
 
 def test_batches_of_different_runs_have_different_tags(spark, lake):
@@ -267,7 +341,7 @@ def test_set_up_is_repeatable_and_shows_written_rows(spark, lake):
     refresh_partitions(spark, lake, "bronze.prices")
     table = spark.table(lake.table("bronze.prices"))
     assert set(PRICE_FEED.names) <= set(table.columns) and table.count() == 1
-    assert spark.table(lake.table("logging.dq_log")).columns == DQ_LOG.names
+    assert spark.table(lake.table("logging.dq_log")).columns[: len(DQ_LOG.names) - 3] == DQ_LOG.names[:-3]
     assert select_all(spark, lake.table("bronze.prices")).count() == 1
     seen = []
     stream = stream_catalog_table(spark, lake.table("bronze.prices"))

@@ -3,33 +3,35 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-from operator import and_
 
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
-MAX_LISTED = 2000
 
+def span_of(columns: Sequence[str]) -> list[Column]:
+    """Aggregates of the first and last partition: one row, however many partitions there are."""
+    part = F.struct(*columns)
+    known = F.when(~F.exists(F.array(*[F.col(c).isNull() for c in columns]), lambda x: x), part)
+    return [F.min(known).alias("_first"), F.max(known).alias("_last")]
 
-def listed_only(table: DataFrame, values: Sequence[Row], columns: Sequence[str]) -> DataFrame:
-    """Rows of the partitions in ``values``: a literal predicate, so the scan skips the rest."""
-    if not values:
-        return table.limit(0)
-    spans = [F.col(c).between(min(r[c] for r in values), max(r[c] for r in values)) for c in columns]
-    listed = F.struct(*columns).isin([F.struct(*[F.lit(r[c]) for c in columns]) for r in values])
-    return table.filter(reduce(and_, spans) & listed)
+
+def within(span: Row, columns: Sequence[str]) -> Column:
+    """Predicate on partition columns from the first to the last partition; literal, so the scan skips the rest."""
+    first, last = span["_first"], span["_last"]
+    lit = lambda row: F.struct(*[F.lit(row[c]).alias(c) for c in columns])
+    lead = F.col(columns[0]).between(first[columns[0]], last[columns[0]])
+    return lead & F.struct(*columns).between(lit(first), lit(last))
 
 
-def touched_by(table: DataFrame, changes: DataFrame, columns: Sequence[str]) -> DataFrame:
+def touched_by(table: DataFrame, changes: DataFrame, columns: Sequence[str], span: Row | None = None) -> DataFrame:
     """Rows of ``table`` in the partitions that occur in ``changes``.
 
-    Up to MAX_LISTED partition values become a literal predicate. Beyond that the same rows
-    come from a semi-join, so nothing that grows with the data reaches the driver.
+    The range from the first to the last partition prunes the scan, for any number of partitions;
+    a semi-join takes the exact ones. The driver sees the two ends only.
     """
     columns = list(columns)
+    span = span or changes.agg(*span_of(columns)).first()
+    if span["_first"] is None:
+        return table.limit(0)
     touched = changes.select(*columns).dropna().distinct()
-    values = touched.limit(MAX_LISTED + 1).collect()
-    if len(values) > MAX_LISTED:
-        return table.join(touched, columns, "left_semi").select(*table.columns)
-    return listed_only(table, values, columns)
+    return table.filter(within(span, columns)).join(touched, columns, "left_semi").select(*table.columns)

@@ -13,6 +13,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType
 
 from tickloom.functions.times import in_months
 
@@ -22,9 +23,16 @@ def newest_first(ts_col: str = "date") -> WindowSpec:
 
 
 def history_slice(bars: DataFrame, as_of: date, lookback_days: int = 90, ts_col: str = "date") -> DataFrame:
-    """Bars of the last ``lookback_days`` up to and including ``as_of``, ranked newest first."""
+    """Rows of the last ``lookback_days`` up to and including ``as_of``, ranked newest first.
+
+    ``ts_col`` is a date or, for hourly history, a timestamp; the day of ``as_of`` counts whole.
+    """
     start = as_of - timedelta(days=lookback_days)
-    recent = bars.filter(in_months(start, as_of) & F.col(ts_col).between(F.lit(start), F.lit(as_of)))
+    if bars.schema[ts_col].dataType == DateType():
+        inside = F.col(ts_col).between(F.lit(start), F.lit(as_of))
+    else:
+        inside = (F.col(ts_col) >= F.lit(start)) & (F.col(ts_col) < F.lit(as_of + timedelta(days=1)))
+    recent = bars.filter(in_months(start, as_of) & inside)
     return recent.withColumn("rn", F.row_number().over(newest_first(ts_col)))
 
 

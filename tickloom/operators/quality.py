@@ -7,6 +7,7 @@ one aggregation for the row-wise counts and one per uniqueness key; nothing is c
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime
@@ -19,7 +20,7 @@ from pyspark.sql import functions as F
 from tickloom.functions.partitions import touched_by
 from tickloom.functions.times import extract_hour
 from tickloom.schemas import BY_DAY, DQ_LOG, PRICE_KEY
-from tickloom.sinks.files import append_table
+from tickloom.sinks.files import write_batch
 from tickloom.sources.inventory import list_files
 
 
@@ -284,9 +285,12 @@ def _failure_message(failures: Sequence[Row]) -> str:
     return f"Critical DQ check failed: {message}"
 
 
-def enforce(log: DataFrame, log_path: str, critical: bool = True) -> bool:
+def enforce(log: DataFrame, log_path: str, critical: bool = True, tag: str | None = None) -> bool:
     """Append log rows to the log table, then raise if a check failed.
 
+    The rows of one micro-batch carry its ``tag``, so a retry of a failed batch adds none; without
+    a tag every call adds its rows.
+
     A critical run stops at the first failed check: that one is logged and raised, later ones
     are not logged. Otherwise all are logged. Returns whether everything passed. The log is as
     long as the list of checks, so reading its failures back is small.
@@ -296,7 +300,7 @@ def enforce(log: DataFrame, log_path: str, critical: bool = True) -> bool:
         failures = log.filter("status = 'FAIL'").collect()
         stop = min((r["_check"] for r in failures), default=None)
         kept = log if stop is None or not critical else log.filter(F.col("_check") <= stop)
-        append_table(kept.select(*DQ_LOG.names).coalesce(1), log_path, BY_DAY)
+        write_batch(kept.select(*DQ_LOG.names).coalesce(1), log_path, BY_DAY, tag or f"run-{uuid.uuid4().hex}")
     finally:
         log.unpersist()
     if failures and critical:

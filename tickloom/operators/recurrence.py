@@ -77,11 +77,11 @@ def smooth(marked: DataFrame, smoothings: Sequence[Smoothing]) -> DataFrame:
         term = f"CASE WHEN _pos = 0 THEN {s.start} ELSE {s.value} * {s.weight}D END"
         decay = f"pow({s.keep}D, _offset)"
         local[in_block] = (
-            f"sum(({term}) / {decay}) OVER (PARTITION BY symbol, _block ORDER BY _day {_SO_FAR}) * {decay}"
+            f"sum(({term}) / {decay}) OVER (PARTITION BY symbol, _segment, _block ORDER BY _day {_SO_FAR}) * {decay}"
         )
         ends[block_ends] = (
             f"collect_list(CASE WHEN _offset = {BLOCK - 1} THEN {in_block} END) "
-            f"OVER (PARTITION BY symbol, _segment ORDER BY _day {_BEFORE})"
+            f"OVER (PARTITION BY symbol, _segment ORDER BY _block, _day {_BEFORE})"
         )
         # State before this block: the ends of the blocks before it, folded oldest first.
         state = f"aggregate({block_ends}, 0D, (state, last) -> state * {s.keep**BLOCK}D + last)"

@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from functools import reduce
 from operator import and_
 
-from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
-from tickloom.functions.partitions import MAX_LISTED, listed_only
+from tickloom.functions.partitions import span_of, touched_by
+from tickloom.config import shared_folder
 from tickloom.schemas import TableSpec
+from tickloom.sinks.files import exists, write_batch
 from tickloom.sources.tables import read_table
 
 _HIT = "_hit"
@@ -51,26 +53,16 @@ def merge_rows(
     return matched.unionByName(added)
 
 
-def _inspect(changes: DataFrame, spec: TableSpec) -> list | None:
-    """Check the changes and list the partitions they touch, in one job.
-
-    Returns None when there are more partitions than may be listed.
-    """
+def _inspect(changes: DataFrame, spec: TableSpec) -> Row:
+    """Check the changes and find the span of partitions they touch, as one row."""
     parts = list(spec.partition_by)
-    moved = _misplaced(spec)
     per_key = changes.groupBy(*spec.key, *parts).agg(F.count(F.lit(1)).alias("_n"))
-    per_part = per_key.groupBy(*parts).agg(
-        F.max("_n").alias("_copies"), F.max(moved.cast("int")).alias("_moved")
-    )
-    rows = per_part.limit(MAX_LISTED + 1).collect()
-    listed = len(rows) <= MAX_LISTED
-    if not listed:
-        rows = [per_part.agg(F.max("_copies").alias("_copies"), F.max("_moved").alias("_moved")).first()]
-    if any(r["_moved"] for r in rows):
+    found = per_key.agg(F.max("_n").alias("_copies"), F.max(_misplaced(spec).cast("int")).alias("_moved"), *span_of(parts)).first()
+    if found["_moved"]:
         raise MovedPartitionError(f"{spec.name}: partition columns must follow from the date")
-    if any(r["_copies"] > 1 for r in rows):
+    if (found["_copies"] or 0) > 1:
         raise DuplicateKeyError(f"{spec.name}: a key of {spec.key} occurs more than once")
-    return rows if listed else None
+    return found
 
 
 def _misplaced(spec: TableSpec) -> Column:
@@ -80,43 +72,65 @@ def _misplaced(spec: TableSpec) -> Column:
     return ~F.coalesce(agree, F.lit(False))
 
 
+def changed_keys(old: DataFrame, changes: DataFrame, spec: TableSpec, update: Sequence[str] | None = None) -> DataFrame:
+    """Key and partition of the rows that the changes add or give another value."""
+    keys = list(spec.key)
+    compared = [c for c in (update or old.columns) if c not in keys]
+    before = old.select(*keys, F.struct(*compared).alias("_before"))
+    both = changes.join(before, keys, "left")
+    return both.filter(~F.struct(*compared).eqNullSafe(F.col("_before"))).select(*spec.feed_schema.names)
+
+
+def feed_path(path: str) -> str:
+    """Where the change feed of the table at ``path`` is kept."""
+    return f"{path}_changes"
+
+
 def upsert(
-    changes: DataFrame, path: str, spec: TableSpec, update: Sequence[str] | None = None
+    changes: DataFrame, path: str, spec: TableSpec, update: Sequence[str] | None = None, tag: str | None = None
 ) -> None:
     """Apply changes to the table at ``path``; only touched partitions are read and rewritten.
 
     Repeating the same call leaves the table as it is, so a replayed batch does no harm. There
     must be a single writer. The rewrite replaces a partition folder at job commit and is not a
     transaction; where the deployment has a table format with MERGE, use ``merge_into``.
+
+    The changes are written to the shared folder first, so they are computed once and stay the
+    same. A table with a change feed gets the keys that really changed appended to it, once for a
+    ``tag``: they are found before the rewrite and kept until they are published, so a replay of a
+    crashed call still publishes them.
     """
     spark = changes.sparkSession
-    changes = changes.select(*spec.schema.names).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        touched = _inspect(changes, spec)
-        if touched == []:
-            return
-        table = read_table(spark, path, spec.schema)
-        if touched is None:
-            parts = list(spec.partition_by)
-            old = table.join(changes.select(*parts).distinct(), parts, "left_semi").select(*table.columns)
-        else:
-            old = listed_only(table, touched, spec.partition_by)
-        merged = merge_rows(old, changes, spec.key, update)
-        (
-            merged.hint("rebalance", *spec.partition_by)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(*spec.partition_by)
-            .parquet(path)
-        )
-    finally:
-        changes.unpersist()
+    staged = shared_folder(spark, f"upsert-{spec.name}")
+    changes.select(*spec.schema.names).write.parquet(staged)
+    changes = spark.read.schema(spec.schema).parquet(staged)
+    span = _inspect(changes, spec)
+    if span["_copies"] is None:
+        return
+    tag = tag or f"run-{uuid.uuid4().hex}"
+    pending = f"{path}_pending/{tag}"
+    old = touched_by(read_table(spark, path, spec.schema, missing_ok=True), changes, spec.partition_by, span)
+    if spec.change_feed and not exists(spark, f"{pending}/_SUCCESS"):
+        changed_keys(old, changes, spec, update).write.mode("overwrite").parquet(pending)
+    merged = merge_rows(old, changes, spec.key, update)
+    (
+        merged.hint("rebalance", *spec.partition_by)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*spec.partition_by)
+        .parquet(path)
+    )
+    if spec.change_feed:
+        write_batch(spark.read.schema(spec.feed_schema).parquet(pending), feed_path(path), spec.partition_by, tag)
 
 
 def merge_into(
     changes: DataFrame, table: str, keys: Sequence[str], update: Sequence[str] | None = None
 ) -> None:
-    """The same upsert as a MERGE statement, for a catalog table whose format supports it."""
+    """The same upsert as a MERGE statement, for a catalog table whose format supports it.
+
+    No such format is installed here: only the refusal by Parquet is tested.
+    """
     source, target = changes.alias("source"), table.rsplit(".", 1)[-1]
     match = reduce(and_, [F.col(f"{target}.{k}") == F.col(f"source.{k}") for k in keys])
     merge = source.mergeInto(table, match)

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -59,9 +59,10 @@ def sql_select_all(spark: SparkSession, sf: str) -> DataFrame:
 def csv_untyped_read(spark: SparkSession, sf: str) -> DataFrame:
     folder = _lake(spark, "untyped").landing("hourly_prices")
     land_history(_ticks(spark, sf), folder)
-    return read_untyped(spark, folder).select(
-        "symbol", "extract_time", "extract_date", "year", "month", "day"
-    )
+    untyped = read_untyped(spark, folder)
+    # The texts of doubles differ between engines; their values must not.
+    amounts = [f.name for f in PRICE_FEED.fields if f.dataType.simpleString() == "double"]
+    return rounded(untyped.select(*[F.col(c).cast("double") if c in amounts else F.col(c) for c in PRICE_FEED.names]))
 
 
 def symbol_list(spark: SparkSession, sf: str) -> DataFrame:
@@ -89,11 +90,14 @@ def preview_limit(spark: SparkSession, sf: str) -> DataFrame:
 def file_inventory(spark: SparkSession, sf: str) -> DataFrame:
     folder = _lake(spark, "inventory").landing("bars")
     land_history(_bars(spark, sf), folder)
-    named = list_files(spark, folder).withColumn(
-        "folder", F.regexp_extract("path", "(feed_year=[^/]*/feed_month=[^/]*)/[^/]*$", 1)
-    )
+    read = read_untyped(spark, folder).groupBy(F.col("_metadata.file_path").alias("read_path"), F.col("_metadata.file_size").alias("size"))
+    read = read.agg(F.count(F.lit(1)).alias("rows"))
+    listed = list_files(spark, folder).join(read, F.col("path") == F.col("read_path"), "outer")
+    named = listed.withColumn("folder", F.regexp_extract("path", "(feed_year=[^/]*/feed_month=[^/]*)/[^/]*[.]csv$", 1))
     return named.groupBy("folder").agg(
-        (F.count(F.lit(1)) > 0).alias("has_files"), (F.sum("length") > 0).alias("has_content")
+        F.sum("rows").alias("rows"),
+        F.bool_and(F.col("path").isNotNull() & F.col("read_path").isNotNull()).alias("all_listed"),
+        F.bool_and(F.col("length") == F.col("size")).alias("lengths_agree"),
     )
 
 
@@ -193,6 +197,21 @@ def latest_row(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(history.latest_row(_bars(spark, sf), AS_OF))
 
 
+def _hourly(spark: SparkSession, sf: str) -> DataFrame:
+    """Newest tick of each symbol and hour."""
+    ticks = _ticks(spark, sf).withColumn("hour", F.date_trunc("hour", "extract_time"))
+    newest = ticks.groupBy("symbol", "hour").agg(F.max(F.struct("extract_time", "current_price", "volume", "year", "month")).alias("t"))
+    return newest.select("symbol", F.col("hour").alias("at"), "t.current_price", "t.volume", "t.year", "t.month")
+
+
+def history_slice_hourly(spark: SparkSession, sf: str) -> DataFrame:
+    return rounded(history.history_slice(_hourly(spark, sf), CHECKED_AT.date(), 7, "at"))
+
+
+def latest_row_hourly(spark: SparkSession, sf: str) -> DataFrame:
+    return rounded(history.latest_row(_hourly(spark, sf), CHECKED_AT.date(), 3, "at"))
+
+
 def price_diff(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(history.price_diff(_bars(spark, sf)).select("symbol", "date", "price_diff"))
 
@@ -312,11 +331,13 @@ def _unique(count: str) -> Query:
 
 def _duplicate_files(scope: str) -> Query:
     def query(spark: SparkSession, sf: str) -> DataFrame:
-        ticks, half = _ticks(spark, sf), F.minute("extract_time") >= 30
-        log = quality.duplicate_delivery_check(
-            ticks.filter(half), ticks.filter(~half), _ctx("bronze.prices"), scope
-        )
-        return _log(log)
+        # Every third tick is a month older; every fifth was filed under another year when it came.
+        at = F.when(F.col("volume") % 3 == 0, F.col("extract_time") - F.expr("INTERVAL 31 DAYS")).otherwise(F.col("extract_time"))
+        ticks = _ticks(spark, sf).withColumn("extract_time", at)
+        ticks = ticks.withColumns({"year": F.year(at), "month": F.month(at), "day": F.dayofmonth(at)})
+        half = F.minute("extract_time") >= 30
+        bronze = ticks.filter(~half).withColumn("year", F.when(F.col("volume") % 5 == 0, 2020).otherwise(F.col("year")))
+        return _log(quality.duplicate_delivery_check(ticks.filter(half), bronze, _ctx("bronze.prices"), scope))
 
     return query
 
@@ -328,11 +349,32 @@ def dq_gate_prices(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def dq_file_arrival(spark: SparkSession, sf: str) -> DataFrame:
-    """Arrival in the current hour, for a feed landed just now; times differ on every run."""
+    """A feed landed just now, checked in the hour of its newest file, in another hour, and for another month."""
     lake = _lake(spark, "arrival")
-    land(view(spark, sf, views.FETCHED), lake, "pric", F.col("taken_at"))
-    ctx = quality.LogContext(lake.landing(lake.price_feed), "Bronze", CHECKED_AT)
-    return _log(quality.file_arrival_check(spark, ctx))
+    land(view(spark, sf, views.FETCHED), lake, "pric", F.current_timestamp())
+    folder = lake.landing(lake.price_feed)
+    came = list_files(spark, folder).agg(F.max("modificationTime")).first()[0]
+    later = came + timedelta(hours=2)
+    other = later if later.month == came.month else came - timedelta(hours=2)
+    cases = {"found": came, "too_old": other, "missing": came.replace(year=2001, day=1)}
+    logs = []
+    for case, as_of in cases.items():
+        log = quality.file_arrival_check(spark, quality.LogContext(folder, "Bronze", as_of), "folder")
+        seen = F.when(F.col("observed_value").isin("Found", "Missing"), F.col("observed_value")).otherwise("a time")
+        said = F.regexp_extract("error_message", "^(No files found|Latest file|)", 1)
+        logs.append(log.select(F.lit(case).alias("case"), "check_name", "check_type", "layer", "status", seen.alias("observed"), said.alias("said")))
+    return history.union_by_name(logs)
+
+
+def dq_log_append(spark: SparkSession, sf: str) -> DataFrame:
+    """The log of two runs, the first of them retried, as it is read back."""
+    path = _lake(spark, "log").path("logging.dq_log")
+    labels, customers = view(spark, sf, views.DOC_LABELS), table(spark, sf, "customer")
+    nulls = quality.evaluate(labels, [quality.NullCheck(["doc_id", "quality", "toxic"])], _ctx("doc_labels"))
+    signs = quality.evaluate(customers, [quality.NonNegativeCheck(["c_acctbal", "c_custkey"])], _ctx("customer"))
+    for log, tag in ((nulls, "run-1"), (nulls, "run-1"), (signs, "run-2")):
+        quality.enforce(log, path, critical=False, tag=tag)
+    return read_table(spark, path, TABLES["logging.dq_log"].schema)
 
 
 # Upserts
@@ -388,6 +430,8 @@ QUERIES: dict[str, Query] = {
     "month_pairs": month_pairs,
     "history_slice": history_slice,
     "latest_row": latest_row,
+    "history_slice_hourly": history_slice_hourly,
+    "latest_row_hourly": latest_row_hourly,
     "price_diff": price_diff,
     "obv_running": obv_running,
     "join_prev_state": join_prev_state,
@@ -414,6 +458,7 @@ QUERIES: dict[str, Query] = {
     "dq_duplicate_files_days": _duplicate_files("days"),
     "dq_gate_prices": dq_gate_prices,
     "dq_file_arrival": dq_file_arrival,
+    "dq_log_append": dq_log_append,
     "dq_message_format": dq_message_format,
     "expected_rows": expected_rows,
     "upsert_daily_bars": upsert_daily_bars,

@@ -291,6 +291,8 @@ def _expected(source: str) -> str:
 _LINE_KEY = ["l_orderkey", "l_linenumber"]
 _PRICE_KEY = ["symbol", "current_price", "extract_time"]
 
+_SHIFTED = """(SELECT event_id, event_type, CASE WHEN event_id % 1000 % 3 = 0 THEN CAST(ts AS TIMESTAMP) - INTERVAL 31 DAY
+    ELSE CAST(ts AS TIMESTAMP) END AS ts FROM events)"""
 _DUPLICATE_FILES = _log(
     "bronze.prices",
     "duplicate_file_check",
@@ -298,9 +300,9 @@ _DUPLICATE_FILES = _log(
     "n || ' duplicates'",
     "n > 0",
     "n || ' duplicate (symbol, extract_time-hour) records found in Bronze table'",
-    """SELECT count(*) AS n FROM events i JOIN events b ON i.event_type = b.event_type
+    """SELECT count(*) AS n FROM {shifted} i JOIN {shifted} b ON i.event_type = b.event_type
        AND date_trunc('hour', i.ts) = date_trunc('hour', b.ts)
-       WHERE minute(i.ts) >= 30 AND minute(b.ts) < 30 AND {scope}""",
+       WHERE minute(i.ts) >= 30 AND minute(b.ts) < 30 AND b.event_id % 1000 % 5 <> 0 AND {scope}""",
     kind="quality",
 )
 
@@ -315,10 +317,15 @@ _MESSAGES = " UNION ALL ".join(
 
 _KEPT = "l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate"
 
+_NEWEST_OF_HOUR = f"""(SELECT symbol, date_trunc('hour', extract_time) AS at, current_price, volume, year, month FROM {TICKS}
+    QUALIFY row_number() OVER (PARTITION BY symbol, date_trunc('hour', extract_time)
+      ORDER BY extract_time DESC, current_price DESC, volume DESC) = 1)"""
+
 ORACLE: dict[str, str] = {
     "scan_table": "SELECT * FROM orders",
     "sql_select_all": f"SELECT {_columns(PRICE_FEED)} FROM {TICKS}",
-    "csv_untyped_read": f"""SELECT symbol, strftime(extract_time, '%Y-%m-%dT%H:%M:%S.%f') AS extract_time,
+    "csv_untyped_read": f"""SELECT {_columns(PRICE_FEED, skip=("extract_time", "extract_date", *BY_DAY))},
+        strftime(extract_time, '%Y-%m-%dT%H:%M:%S.%f') AS extract_time,
         CAST(extract_date AS VARCHAR) AS extract_date, CAST(year AS VARCHAR) AS year,
         CAST(month AS VARCHAR) AS month, CAST(day AS VARCHAR) AS day FROM {TICKS}""",
     "symbol_list": f"""SELECT symbol, 'lines' AS reader FROM {COMPANIES}
@@ -328,8 +335,8 @@ ORACLE: dict[str, str] = {
     "csv_roundtrip": f"SELECT {_columns(PRICE_FEED)} FROM {TICKS}",
     "preview_limit": f"""SELECT {_columns(PRICE_FEED)} FROM {TICKS}
         ORDER BY extract_time, symbol, current_price, volume LIMIT 100""",
-    "file_inventory": f"""SELECT DISTINCT 'feed_year=' || year || '/feed_month=' || month AS folder,
-        true AS has_files, true AS has_content FROM {BARS}""",
+    "file_inventory": f"""SELECT 'feed_year=' || year || '/feed_month=' || month AS folder, count(*) AS rows,
+        true AS all_listed, true AS lengths_agree FROM {BARS} GROUP BY ALL""",
     "ddl_catalog": f"""SELECT 'bronze.prices' AS table_name, year, month, count(*) AS n FROM {TICKS} GROUP BY ALL
         UNION ALL SELECT 'silver.daily_price_aggregates', year, month, count(*) FROM {BARS} GROUP BY ALL""",
     "filter_not_null": f"SELECT * FROM {DOC_LABELS} WHERE quality IS NOT NULL AND toxic IS NOT NULL",
@@ -362,6 +369,12 @@ ORACLE: dict[str, str] = {
     "latest_row": f"""SELECT symbol, date, {_rounded(_BAR_VALUES, 6)},
         year, month FROM {BARS} WHERE date >= {AS_OF} - 5 AND date < {AS_OF}
         QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY date DESC) = 1""",
+    "history_slice_hourly": f"""SELECT symbol, at, {oracle_round("current_price")} AS current_price, volume, year, month,
+        CAST(row_number() OVER (PARTITION BY symbol ORDER BY at DESC) AS INT) AS rn FROM {_NEWEST_OF_HOUR}
+        WHERE at >= TIMESTAMP '2024-01-08' AND at < TIMESTAMP '2024-01-16'""",
+    "latest_row_hourly": f"""SELECT symbol, at, {oracle_round("current_price")} AS current_price, volume, year, month
+        FROM {_NEWEST_OF_HOUR} WHERE at >= TIMESTAMP '2024-01-12' AND at < TIMESTAMP '2024-01-15'
+        QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY at DESC) = 1""",
     "price_diff": f"""SELECT symbol, date, {oracle_round("(avg_price - lead(avg_price) OVER (PARTITION BY symbol ORDER BY date))")} AS price_diff FROM {BARS}""",
     "obv_running": f"""SELECT symbol, date, obv_change,
         sum(obv_change) OVER (PARTITION BY symbol ORDER BY date DESC) AS obv
@@ -399,9 +412,10 @@ ORACLE: dict[str, str] = {
     "dq_row_count": _row_count("ticks", _HOURLY, _expected(_HOURLY)),
     "dq_unique_total": _uniqueness("lineitem", _LINE_KEY, _surplus(_LINE_KEY, "lineitem")),
     "dq_unique_groups": _uniqueness("lineitem", _LINE_KEY, _repeated(_LINE_KEY, "lineitem")),
-    "dq_duplicate_files_month": _DUPLICATE_FILES.format(scope="year(b.ts) = 2024 AND month(b.ts) = 1"),
+    "dq_duplicate_files_month": _DUPLICATE_FILES.format(shifted=_SHIFTED, scope="year(b.ts) = 2024 AND month(b.ts) = 1"),
     "dq_duplicate_files_days": _DUPLICATE_FILES.format(
-        scope="CAST(b.ts AS DATE) IN (SELECT CAST(ts AS DATE) FROM events WHERE minute(ts) >= 30)"
+        shifted=_SHIFTED,
+        scope=f"CAST(b.ts AS DATE) IN (SELECT CAST(ts AS DATE) FROM {_SHIFTED} WHERE minute(ts) >= 30)",
     ),
     "dq_gate_prices": " UNION ALL ".join(
         [
@@ -411,6 +425,16 @@ ORACLE: dict[str, str] = {
             *[_nulls("silver.prices", c, DELIVERIES) for c in _PRICE_KEY],
         ]
     ),
+    "dq_file_arrival": """SELECT *, 'file_arrival_check' AS check_name, 'ingestion' AS check_type, 'Bronze' AS layer FROM (VALUES
+        ('found', 'PASS', 'Found', ''), ('too_old', 'FAIL', 'a time', 'Latest file'),
+        ('missing', 'FAIL', 'Missing', 'No files found')) AS cases("case", status, observed, said)
+        WHERE EXISTS (FROM events)""",
+    "dq_log_append": " UNION ALL ".join(
+        [
+            *[_nulls("doc_labels", c, DOC_LABELS) for c in ("doc_id", "quality", "toxic")],
+            *[_negatives("customer", c, "customer") for c in ("c_acctbal", "c_custkey")],
+        ]
+    ),
     "dq_message_format": f"SELECT check_name, expected_value, observed_value, status, error_message FROM ({_MESSAGES})",
     "expected_rows": f"SELECT {_expected(_HOURLY)} AS expected_rows",
     "upsert_daily_bars": f"""WITH old AS (
@@ -434,5 +458,6 @@ ORACLE: dict[str, str] = {
     "stream_fundamentals_dedup": CLEAN_FUNDAMENTALS,
     "stream_daily_bars": DAILY_ROUNDED,
     "stream_daily_bars_windowed": DAILY_ROUNDED,
+    "stream_replay": DAILY_ROUNDED,
     "stream_indicators": DAILY_INDICATORS_SQL,
 }

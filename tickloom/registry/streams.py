@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tickloom.config import Lakehouse, shared_folder
 from tickloom.registry import views
@@ -12,7 +13,9 @@ from tickloom.registry.batch import CHECKED_AT, Query
 from tickloom.registry.views import rounded, table, view
 from tickloom.schemas import FUNDAMENTALS_FEED, PRICE_FEED, SILVER_PRICES, TABLES
 from tickloom.operators.cleaning import cast_ints
+from tickloom.operators.upsert import upsert
 from tickloom.sinks.files import append_table, land_history, write_batch
+from tickloom.sources.inventory import list_files
 from tickloom.sources.tables import read_table
 from tickloom.streaming import bronze, gold, silver
 
@@ -33,12 +36,23 @@ def _stored(spark: SparkSession, lake: Lakehouse, key: str) -> DataFrame:
     return read_table(spark, lake.path(key), TABLES[key].schema)
 
 
+def _make_old(spark: SparkSession, folder: str, old: bool) -> None:
+    """Give the files that aren't dated back yet times of now, or of ten days ago."""
+    jvm = spark.sparkContext._jvm
+    files = [r["path"] for r in list_files(spark, folder).select("path").collect()]
+    fs = jvm.org.apache.hadoop.fs.Path(folder).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for name in files if old else []:
+        path = jvm.org.apache.hadoop.fs.Path(name)
+        fs.setTimes(path, fs.getFileStatus(path).getModificationTime() - 10 * 86_400_000, -1)
+
+
 def stream_prices_ingest(spark: SparkSession, sf: str) -> DataFrame:
     lake = Lakehouse(shared_folder(spark, "prices"))
     ticks = view(spark, sf, views.TICKS).select(*PRICE_FEED.names)
     for part in (_CUT, f"NOT {_CUT}"):
         land_history(ticks.filter(part), lake.landing(lake.price_feed))
-        bronze.ingest_prices(spark, lake)
+        _make_old(spark, lake.landing(lake.price_feed), part != _CUT)
+        bronze.ingest_prices(spark, lake, max_files=40)
     return rounded(_stored(spark, lake, "bronze.prices"))
 
 
@@ -48,6 +62,7 @@ def stream_fundamentals_ingest(spark: SparkSession, sf: str) -> DataFrame:
     cut = f"extract_time < {_FUND_CUT}"
     for part in (cut, f"NOT {cut}"):
         land_history(rows.filter(part), lake.landing(lake.fundamentals_feed))
+        _make_old(spark, lake.landing(lake.fundamentals_feed), part != cut)
         bronze.ingest_fundamentals(spark, lake)
     return rounded(_stored(spark, lake, "bronze.fundamentals"))
 
@@ -85,11 +100,28 @@ def _daily_bars(windowed: bool) -> Query:
     return query
 
 
+def stream_replay(spark: SparkSession, sf: str) -> DataFrame:
+    """Ticks through silver to bars, with the first batch of bronze written again between two runs."""
+    lake = Lakehouse(shared_folder(spark, "replay"))
+    ticks, spec = view(spark, sf, views.TICKS), TABLES["bronze.prices"]
+    symbols = table(spark, sf, "events").selectExpr("event_type AS symbol").distinct()
+    parts = {"q-0": _CUT, "q-1": f"NOT {_CUT}"}
+    for tags in (["q-0"], ["q-0", "q-1"]):
+        for tag in tags:
+            write_batch(ticks.filter(parts[tag]), lake.path("bronze.prices"), spec.partition_by, tag)
+        silver.refine_prices(spark, lake, symbols, gate="log", as_of=CHECKED_AT)
+        silver.roll_daily_bars(spark, lake)
+    return rounded(_stored(spark, lake, "silver.daily_price_aggregates"), 8)
+
+
 def stream_indicators(spark: SparkSession, sf: str) -> DataFrame:
+    """Bars in two deliveries, of which the first has wrong prices on one day that are corrected at last."""
     lake = Lakehouse(shared_folder(spark, "indicators"))
+    key, wrong = "silver.daily_price_aggregates", F.col("date") == F.lit("1999-06-15").cast("date")
     bars = view(spark, sf, views.BARS)
-    for part in ("date < DATE '2000-03-15'", "date >= DATE '2000-03-15'"):
-        _store(bars.filter(part), lake, "silver.daily_price_aggregates")
+    first = bars.filter("date < DATE '2000-03-15'").withColumn("avg_price", F.when(wrong, F.col("avg_price") * 3).otherwise(F.col("avg_price")))
+    for rows in (first, bars.filter("date >= DATE '2000-03-15'"), bars.filter(wrong)):
+        upsert(rows, lake.path(key), TABLES[key])
         gold.roll_indicators(spark, lake)
     return rounded(_stored(spark, lake, "gold.daily_price_indicators"), 4)
 
@@ -101,5 +133,6 @@ QUERIES: dict[str, Query] = {
     "stream_fundamentals_dedup": stream_fundamentals_dedup,
     "stream_daily_bars": _daily_bars(windowed=False),
     "stream_daily_bars_windowed": _daily_bars(windowed=True),
+    "stream_replay": stream_replay,
     "stream_indicators": stream_indicators,
 }

@@ -97,6 +97,7 @@ class TableSpec:
     partition_by: tuple[str, ...]
     key: tuple[str, ...] = ()
     tagged: bool = False
+    change_feed: bool = False
 
     @property
     def stored_schema(self) -> StructType:
@@ -104,6 +105,11 @@ class TableSpec:
         tag = [StructField(BATCH_TAG, StringType())] if self.tagged else []
         return StructType(self.schema.fields + tag)
 
+    @property
+    def feed_schema(self) -> StructType:
+        """Columns of the change feed: the key and the partition of a changed row."""
+        return StructType([self.schema[c] for c in dict.fromkeys((*self.key, *self.partition_by))])
+
     @property
     def folders(self) -> tuple[str, ...]:
         """Partition columns in the order of the folders."""
@@ -113,12 +119,12 @@ class TableSpec:
 TABLES = {
     f"{t.layer}.{t.name}": t
     for t in (
-        TableSpec("logging", "dq_log", DQ_LOG, BY_DAY),
+        TableSpec("logging", "dq_log", DQ_LOG, BY_DAY, tagged=True),
         TableSpec("bronze", "fundamentals", FUNDAMENTALS_FEED, BY_DAY, tagged=True),
         TableSpec("bronze", "prices", PRICE_FEED, BY_DAY, tagged=True),
         TableSpec("silver", "fundamentals", SILVER_FUNDAMENTALS, BY_DAY, FUNDAMENTALS_KEY, tagged=True),
         TableSpec("silver", "prices", SILVER_PRICES, BY_DAY, PRICE_KEY, tagged=True),
-        TableSpec("silver", "daily_price_aggregates", DAILY_BARS, BY_MONTH, BAR_KEY),
+        TableSpec("silver", "daily_price_aggregates", DAILY_BARS, BY_MONTH, BAR_KEY, change_feed=True),
         TableSpec("gold", "daily_price_indicators", DAILY_INDICATORS, BY_MONTH, BAR_KEY),
     )
 }

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -13,6 +14,8 @@ from tickloom.schemas import BATCH_TAG
 # Micro-second ISO times; the CSV writer's own default cuts them to milliseconds.
 _CSV_TIME = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 _ADAPTIVE = "spark.sql.adaptive.enabled"
+# Beside a table: one marker for each complete batch.
+COMMITS = "_commits"
 
 
 def max_partition(df: DataFrame, columns: Sequence[str] = ("year", "month")) -> DataFrame:
@@ -48,11 +51,16 @@ def append_table(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
 
 
 def write_batch(df: DataFrame, path: str, partition_by: Sequence[str], batch_tag: str) -> None:
-    """Write one micro-batch so that a replay replaces it instead of adding it again.
+    """Write one micro-batch exactly once.
 
     The tag is the innermost partition. Partition columns stay in front, so readers still prune
-    on them and need not know about the tag.
+    on them and need not know about the tag. A marker beside the table, written last, says that a
+    tag is complete: a replay then leaves its files as they are, so that streams over the table
+    don't take rewritten files for new ones. Without the marker a replay replaces what is there.
     """
+    marker = f"{path}{COMMITS}/{batch_tag}"
+    if exists(df.sparkSession, marker):
+        return
     (
         df.withColumn(BATCH_TAG, F.lit(batch_tag))
         .hint("rebalance", *partition_by)
@@ -61,14 +69,29 @@ def write_batch(df: DataFrame, path: str, partition_by: Sequence[str], batch_tag
         .partitionBy(*partition_by, BATCH_TAG)
         .parquet(path)
     )
+    df.sparkSession.range(1, numPartitions=1).write.mode("overwrite").parquet(marker)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a folder is there; its files are not listed or read."""
+    try:
+        spark.read.schema("id long").parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return False
+    return True
 
 
 def batch_tag(batch: DataFrame, batch_id: int) -> str:
     """Name of a micro-batch that no other checkpoint shares.
 
-    Batch numbers start over with a new checkpoint, the query id does not repeat.
+    Batch numbers start over with a new checkpoint, the query id does not repeat. Outside a
+    stream there is no such id, and a made-up one could meet that of another stream.
     """
     query_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+    if not query_id:
+        raise RuntimeError("a batch tag needs the id of a running streaming query")
     return f"{query_id}-{batch_id}"
 
 

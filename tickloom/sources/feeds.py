@@ -3,8 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import DataStreamReader
 from pyspark.sql.types import StructType
 
+MAX_AGE = "36500d"
+MAX_FILES = 1000
+
 
 def stream_feed(
     spark: SparkSession,
@@ -12,20 +16,37 @@ def stream_feed(
     schema: StructType,
     max_files: int | None = None,
     max_bytes: str | None = None,
+    max_age: str = MAX_AGE,
+    archive: str | None = None,
 ) -> DataFrame:
     """New CSV files below ``folder``, at any depth, as a stream.
 
-    Columns are taken by position, so files must follow the schema's order. ``max_files`` and
-    ``max_bytes`` bound one micro-batch, and with it the work of one stateful task.
+    Columns are taken by position, so files must follow the schema's order. ``bounded`` tells what
+    the other options do. ``archive`` moves files there once they are done, so that the driver,
+    which remembers every name within ``max_age``, need not list and remember them for ever.
     """
     reader = spark.readStream.schema(schema).option("header", True).option("recursiveFileLookup", True)
-    if max_files:
-        reader = reader.option("maxFilesPerTrigger", max_files)
-    if max_bytes:
-        reader = reader.option("maxBytesPerTrigger", max_bytes)
+    reader = bounded(reader, max_files, max_bytes, max_age)
+    if archive:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
     return reader.csv(folder)
 
 
+def bounded(
+    reader: DataStreamReader, max_files: int | None = None, max_bytes: str | None = None, max_age: str = MAX_AGE
+) -> DataStreamReader:
+    """Bound a micro-batch, and take files however late they come.
+
+    A batch is ``max_bytes`` if given, else ``max_files``, by default MAX_FILES: also a first run
+    over a whole table then goes in steps. ``max_age`` is how far behind the newest file an unseen
+    file may be; Spark's own default of a week would drop later ones without a word.
+    """
+    reader = reader.option("maxFileAge", max_age)
+    if max_bytes:
+        return reader.option("maxBytesPerTrigger", max_bytes)
+    return reader.option("maxFilesPerTrigger", max_files or MAX_FILES)
+
+
 def read_feed(spark: SparkSession, folder: str, schema: StructType) -> DataFrame:
     """All files of a feed as one table."""
     return (

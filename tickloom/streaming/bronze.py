@@ -12,18 +12,30 @@ from tickloom.sources.feeds import stream_feed
 
 
 def _ingest(
-    spark: SparkSession, lake: Lakehouse, feed: str, key: str, max_files: int | None
+    spark: SparkSession, lake: Lakehouse, feed: str, key: str, max_files: int | None, max_bytes: str | None, archive: str | None
 ) -> StreamingQuery:
     spec = TABLES[key]
-    stream = stream_feed(spark, lake.landing(feed), spec.schema, max_files)
+    stream = stream_feed(spark, lake.landing(feed), spec.schema, max_files, max_bytes, archive=archive)
     return drain_to_table(stream, lake.path(key), spec.partition_by, lake.checkpoint(f"bronze_{spec.name}"))
 
 
-def ingest_prices(spark: SparkSession, lake: Lakehouse, max_files: int | None = None) -> StreamingQuery:
+def ingest_prices(
+    spark: SparkSession,
+    lake: Lakehouse,
+    max_files: int | None = None,
+    max_bytes: str | None = None,
+    archive: str | None = None,
+) -> StreamingQuery:
     """Append the price files that arrived since the last run, each exactly once."""
-    return _ingest(spark, lake, lake.price_feed, "bronze.prices", max_files)
+    return _ingest(spark, lake, lake.price_feed, "bronze.prices", max_files, max_bytes, archive)
 
 
-def ingest_fundamentals(spark: SparkSession, lake: Lakehouse, max_files: int | None = None) -> StreamingQuery:
+def ingest_fundamentals(
+    spark: SparkSession,
+    lake: Lakehouse,
+    max_files: int | None = None,
+    max_bytes: str | None = None,
+    archive: str | None = None,
+) -> StreamingQuery:
     """Append the fundamentals files that arrived since the last run, each exactly once."""
-    return _ingest(spark, lake, lake.fundamentals_feed, "bronze.fundamentals", max_files)
+    return _ingest(spark, lake, lake.fundamentals_feed, "bronze.fundamentals", max_files, max_bytes, archive)

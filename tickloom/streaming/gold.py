@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tickloom.config import Lakehouse
 from tickloom.operators.indicators import WINDOWS
-from tickloom.operators.upsert import upsert
+from tickloom.operators.upsert import feed_path, upsert
 from tickloom.plans.gold import refreshed_indicators
 from tickloom.schemas import TABLES
 from tickloom.sinks.files import drain_batches
@@ -25,21 +25,25 @@ def roll_indicators(
     refresh: str = "following",
     max_files: int | None = None,
 ) -> StreamingQuery:
-    """Recompute and store the indicators of bars that changed, all dates of a batch in one job."""
-    bars_path, bars_schema = lake.path("silver.daily_price_aggregates"), TABLES["silver.daily_price_aggregates"].schema
+    """Recompute and store the indicators of bars that changed, all dates of a batch in one job.
+
+    The source is the change feed of the bars: one corrected bar recomputes its symbol alone.
+    """
+    bars = TABLES["silver.daily_price_aggregates"]
+    bars_path, bars_schema = lake.path("silver.daily_price_aggregates"), bars.schema
     gold_path, spec = lake.path("gold.daily_price_indicators"), TABLES["gold.daily_price_indicators"]
 
     def store(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
         changed = batch.select("symbol", "date").persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            bars = read_table(session, bars_path, bars_schema)
-            gold = read_table(session, gold_path, spec.schema)
-            fresh = refreshed_indicators(changed, bars, gold, windows, order, refresh)
+            stored = read_table(session, bars_path, bars_schema)
+            gold = read_table(session, gold_path, spec.schema, missing_ok=True)
+            fresh = refreshed_indicators(changed, stored, gold, windows, order, refresh)
             if fresh is not None:
                 upsert(fresh, gold_path, spec)
         finally:
             changed.unpersist()
 
-    stream = stream_table(spark, bars_path, bars_schema, max_files)
+    stream = stream_table(spark, feed_path(bars_path), bars.feed_schema, max_files)
     return drain_batches(stream, store, lake.checkpoint("gold_indicators"), mode="update")

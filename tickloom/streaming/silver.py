@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime, timezone
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -33,11 +32,14 @@ def refine_prices(
     gate: str = "raise",
     as_of: datetime | None = None,
     max_files: int | None = None,
+    max_bytes: str | None = None,
 ) -> StreamingQuery:
     """Gate, clean and append new bronze prices, one micro-batch at a time.
 
     A batch that fails the gate stops the stream (``raise``), goes to a folder beside the table
-    (``quarantine``), or is only logged (``log``). Duplicates are removed within a batch.
+    (``quarantine``), or is only logged (``log``). Duplicates are removed within a batch, and the
+    expected rows are counted per batch too: symbols times extraction times of that batch. A batch
+    is read from its files for the gate and for the cleaning; nothing raw is persisted.
     """
     if gate not in GATE_MODES:
         raise ValueError(f"gate must be one of {GATE_MODES}, not {gate!r}")
@@ -47,30 +49,26 @@ def refine_prices(
     def store(batch: DataFrame, batch_id: int) -> None:
         tag = batch_tag(batch, batch_id)
         ctx = LogContext(path, "Silver", as_of or datetime.now(timezone.utc), tag)
-        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            if batch.isEmpty():
-                return
-            log = evaluate(batch, price_gate(batch, symbols), ctx)
-            passed = enforce(log, lake.path("logging.dq_log"), critical=gate == "raise")
-            if passed or gate == "log":
-                write_batch(clean_prices(batch).select(*spec.schema.names), path, spec.partition_by, tag)
-            else:
-                write_batch(batch, f"{path}_quarantine", spec.partition_by, tag)
-        finally:
-            batch.unpersist()
+        if batch.isEmpty():
+            return
+        log = evaluate(batch, price_gate(batch, symbols), ctx)
+        passed = enforce(log, lake.path("logging.dq_log"), critical=gate == "raise", tag=tag)
+        if passed or gate == "log":
+            write_batch(clean_prices(batch).select(*spec.schema.names), path, spec.partition_by, tag)
+        else:
+            write_batch(batch, f"{path}_quarantine", spec.partition_by, tag)
 
     bronze = TABLES["bronze.prices"].schema
-    stream = stream_table(spark, lake.path("bronze.prices"), bronze, max_files)
+    stream = stream_table(spark, lake.path("bronze.prices"), bronze, max_files, max_bytes)
     return drain_batches(stream.withWatermark("extract_time", PRICE_DELAY), store, checkpoint)
 
 
-def unique_so_far(rows: DataFrame, keys: Sequence[str], spread: bool = False) -> DataFrame:
+def unique_so_far(rows: DataFrame, keys: Sequence[str], spread: bool = True) -> DataFrame:
     """First row of each key of a stream; a key is remembered until the watermark passes it.
 
-    All copies of a key meet in one task, though only the key is kept there. ``spread`` is for
-    feeds in which a few keys come very often: copies are first thinned out per input task, so
-    that a key sends one row per input task to the place where it is decided.
+    The first copy to arrive stays. With ``spread``, copies are thinned out per input task first, so
+    that a key that comes very often sends one row per input task to the place where it is decided;
+    without it all copies of a key meet in one task.
     """
     if spread:
         placed = rows.withColumn("_task", F.spark_partition_id())
@@ -81,7 +79,7 @@ def unique_so_far(rows: DataFrame, keys: Sequence[str], spread: bool = False) ->
 def refine_fundamentals(
     spark: SparkSession,
     lake: Lakehouse,
-    spread: bool = False,
+    spread: bool = True,
     max_files: int | None = None,
     max_bytes: str | None = None,
 ) -> StreamingQuery:
@@ -115,7 +113,7 @@ def roll_daily_bars(
     path = lake.path("silver.daily_price_aggregates")
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        upsert(batch, path, spec, BAR_UPDATES)
+        upsert(batch, path, spec, BAR_UPDATES, batch_tag(batch, batch_id))
 
     prices = stream_table(spark, lake.path("silver.prices"), TABLES["silver.prices"].schema, max_files)
     aggregate = daily_bars_windowed if windowed else daily_bars
