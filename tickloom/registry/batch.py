@@ -201,15 +201,15 @@ def _hourly(spark: SparkSession, sf: str) -> DataFrame:
     """Newest tick of each symbol and hour."""
     ticks = _ticks(spark, sf).withColumn("hour", F.date_trunc("hour", "extract_time"))
     newest = ticks.groupBy("symbol", "hour").agg(F.max(F.struct("extract_time", "current_price", "volume", "year", "month")).alias("t"))
-    return newest.select("symbol", F.col("hour").alias("at"), "t.current_price", "t.volume", "t.year", "t.month")
+    return newest.select("symbol", F.col("hour").alias("hour_start"), "t.current_price", "t.volume", "t.year", "t.month")
 
 
 def history_slice_hourly(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded(history.history_slice(_hourly(spark, sf), CHECKED_AT.date(), 7, "at"))
+    return rounded(history.history_slice(_hourly(spark, sf), CHECKED_AT.date(), 7, "hour_start"))
 
 
 def latest_row_hourly(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded(history.latest_row(_hourly(spark, sf), CHECKED_AT.date(), 3, "at"))
+    return rounded(history.latest_row(_hourly(spark, sf), CHECKED_AT.date(), 3, "hour_start"))
 
 
 def price_diff(spark: SparkSession, sf: str) -> DataFrame:
@@ -334,7 +334,7 @@ def _duplicate_files(scope: str) -> Query:
         # Every third tick is a month older; every fifth was filed under another year when it came.
         at = F.when(F.col("volume") % 3 == 0, F.col("extract_time") - F.expr("INTERVAL 31 DAYS")).otherwise(F.col("extract_time"))
         ticks = _ticks(spark, sf).withColumn("extract_time", at)
-        ticks = ticks.withColumns({"year": F.year(at), "month": F.month(at), "day": F.dayofmonth(at)})
+        ticks = ticks.withColumns({"year": F.year("extract_time"), "month": F.month("extract_time"), "day": F.dayofmonth("extract_time")})
         half = F.minute("extract_time") >= 30
         bronze = ticks.filter(~half).withColumn("year", F.when(F.col("volume") % 5 == 0, 2020).otherwise(F.col("year")))
         return _log(quality.duplicate_delivery_check(ticks.filter(half), bronze, _ctx("bronze.prices"), scope))

@@ -317,7 +317,7 @@ _MESSAGES = " UNION ALL ".join(
 
 _KEPT = "l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate"
 
-_NEWEST_OF_HOUR = f"""(SELECT symbol, date_trunc('hour', extract_time) AS at, current_price, volume, year, month FROM {TICKS}
+_NEWEST_OF_HOUR = f"""(SELECT symbol, date_trunc('hour', extract_time) AS hour_start, current_price, volume, year, month FROM {TICKS}
     QUALIFY row_number() OVER (PARTITION BY symbol, date_trunc('hour', extract_time)
       ORDER BY extract_time DESC, current_price DESC, volume DESC) = 1)"""
 
@@ -369,12 +369,12 @@ ORACLE: dict[str, str] = {
     "latest_row": f"""SELECT symbol, date, {_rounded(_BAR_VALUES, 6)},
         year, month FROM {BARS} WHERE date >= {AS_OF} - 5 AND date < {AS_OF}
         QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY date DESC) = 1""",
-    "history_slice_hourly": f"""SELECT symbol, at, {oracle_round("current_price")} AS current_price, volume, year, month,
-        CAST(row_number() OVER (PARTITION BY symbol ORDER BY at DESC) AS INT) AS rn FROM {_NEWEST_OF_HOUR}
-        WHERE at >= TIMESTAMP '2024-01-08' AND at < TIMESTAMP '2024-01-16'""",
-    "latest_row_hourly": f"""SELECT symbol, at, {oracle_round("current_price")} AS current_price, volume, year, month
-        FROM {_NEWEST_OF_HOUR} WHERE at >= TIMESTAMP '2024-01-12' AND at < TIMESTAMP '2024-01-15'
-        QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY at DESC) = 1""",
+    "history_slice_hourly": f"""SELECT symbol, hour_start, {oracle_round("current_price")} AS current_price, volume, year, month,
+        CAST(row_number() OVER (PARTITION BY symbol ORDER BY hour_start DESC) AS INT) AS rn FROM {_NEWEST_OF_HOUR}
+        WHERE hour_start >= TIMESTAMP '2024-01-08' AND hour_start < TIMESTAMP '2024-01-16'""",
+    "latest_row_hourly": f"""SELECT symbol, hour_start, {oracle_round("current_price")} AS current_price, volume, year, month
+        FROM {_NEWEST_OF_HOUR} WHERE hour_start >= TIMESTAMP '2024-01-12' AND hour_start < TIMESTAMP '2024-01-15'
+        QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY hour_start DESC) = 1""",
     "price_diff": f"""SELECT symbol, date, {oracle_round("(avg_price - lead(avg_price) OVER (PARTITION BY symbol ORDER BY date))")} AS price_diff FROM {BARS}""",
     "obv_running": f"""SELECT symbol, date, obv_change,
         sum(obv_change) OVER (PARTITION BY symbol ORDER BY date DESC) AS obv
