@@ -61,6 +61,14 @@ def unpack_words(n: int, lengths: bytes, n_bytes: int, data: bytes) -> list[str]
     return [whole[a:b].decode() for a, b in zip([0, *ends], ends)]
 
 
+def pieces(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """Batches in small slices, so that few rows at a time become Python objects."""
+    for batch in batches:
+        for first in range(0, len(batch), rows):
+            yield batch.slice(first, rows)
+        pa.default_memory_pool().release_unused()
+
+
 def blocks_of(rows: DataFrame, pattern: str, block_bytes: int) -> Callable[[Callable, T.StructType], DataFrame]:
     """Cut rows (text, row) into blocks of ``block_bytes`` of text and give each to a function.
 
@@ -83,7 +91,7 @@ def blocks_of(rows: DataFrame, pattern: str, block_bytes: int) -> Callable[[Call
                 check = zlib.crc32(b"\0".join(words))
                 yield from use(number, check, words, docs, pa.concat_arrays(kept))
 
-            for batch in batches:
+            for batch in pieces(batches):
                 texts, row, first = batch.column(0).to_pylist(), batch.column(1), 0
                 for i, text in enumerate(texts):
                     docs.append(np.array([index.setdefault(w, len(index)) for w in split(text)], np.uint32))
@@ -190,6 +198,7 @@ def put_together(docs: pa.Table, encoded: pa.Table) -> tuple[pa.Array, pa.Array]
         total = int(c.sum())
         parts.append(flat[np.repeat(starts[at] - (np.cumsum(c) - c), c) + np.arange(total)])
         sizes.append(total)
+    pa.default_memory_pool().release_unused()
     offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
     ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(parts) if parts else np.zeros(0, np.int32), pa.int32()))
     return row, ids
@@ -202,7 +211,7 @@ def encode(
     text_col: str = "text",
     columns: list[str] | None = None,
     block_bytes: int = 4 << 20,
-    bucket_bytes: int = 64 << 20,
+    bucket_bytes: int = 16 << 20,
 ) -> DataFrame:
     """Encode every text; returns ``columns`` (all by default) and ids, an array of integers.
 
@@ -238,7 +247,7 @@ def encode(
     return with_results(whole, "row", names, {"ids": F.col("ids")})
 
 
-def decode(encoded: DataFrame, rank_path: str, ids_col: str = "ids", slice_ids: int = 1 << 21) -> DataFrame:
+def decode(encoded: DataFrame, rank_path: str, ids_col: str = "ids", slice_ids: int = 1 << 18) -> DataFrame:
     """Join ids with the table of token bytes: the rows with a column decoded, the bytes of the text.
 
     Null ids give null, no ids give no bytes; an id that the table lacks is an error. A column of the
@@ -263,6 +272,7 @@ def decode(encoded: DataFrame, rank_path: str, ids_col: str = "ids", slice_ids:
                 if held >= slice_ids or i == len(counts):
                     yield joined(batch.slice(first, i - first), tokens)
                     first, held = i, 0
+            pa.default_memory_pool().release_unused()
 
     def joined(batch: pa.RecordBatch, tokens: pa.Array) -> pa.RecordBatch:
         ids = batch.column(0)
