@@ -219,12 +219,10 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text", columns: lis
       place of an input column of its name.
     """
     names = docs.columns if columns is None else columns
-    shared = docs.sparkSession.sparkContext.broadcast(model)
     rows = docs.select(letters(col(text_col)).alias("letters"), packed(docs, names).alias("row"))
     schema = T.StructType([rows.schema["row"], T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
         for batch in batches:
             blank = pc.equal(batch["letters"], "").to_numpy(zero_copy_only=False)
             for first, last, x in features(batch["letters"]):
