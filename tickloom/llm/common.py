@@ -70,7 +70,7 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         small = large.join(low, "a").select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e"))
         edges = materialise(small.select("e.a", "e.b").where("a <> b").distinct(), "edges")
         before, state = state, _state(edges)
-        if state == before:
+        if state == before or _settled(edges, state[0]):
             break
     else:
         raise RuntimeError(f"components did not settle in {max_rounds} rounds")
@@ -83,5 +83,11 @@ def _state(edges: DataFrame) -> tuple[int, int]:
     return row["n"], row["h"] or 0
 
 
+def _settled(edges: DataFrame, n: int) -> bool:
+    """Whether all edges are stars: each node has one edge, and to a node that has none of its own."""
+    ends = edges.select("a").distinct()
+    return ends.count() == n and edges.join(ends.withColumnRenamed("a", "b"), "b", "left_semi").isEmpty()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

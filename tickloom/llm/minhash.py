@@ -353,6 +353,8 @@ def near_duplicates(
             continue
         tested = tested.unionByName(pairs) if turn else pairs
         found = materialise(verified(pairs, texts, percent), "minhash-links")
+        if turn and found.isEmpty():
+            continue
         links = links.unionByName(found) if turn else found
         groups = materialise(components(links), "minhash-groups")
     labels = known.join(groups.select(F.col("node").alias("key"), "component"), "key", "left").withColumn("component", F.coalesce("component", "key"))
