@@ -91,3 +91,18 @@ def test_odd_vectors(spark):
     want += [(False, i, 0, i, True) for i in (4, 5, 6, 7, 8, 9, 10, 15, 16)]
     assert got == sorted(want, key=str)
     assert near_duplicates(df.limit(0)).count() == 0
+
+
+def test_recall_where_few_dimensions_matter(spark):
+    rng = np.random.default_rng(11)
+    axes = np.linalg.qr(rng.normal(size=(256, 24)))[0].T
+    base = rng.normal(size=(1500, 24))
+    base /= np.linalg.norm(base, axis=1, keepdims=True)
+    shift = rng.normal(size=base.shape)
+    shift -= (shift * base).sum(axis=1, keepdims=True) * base
+    shift /= np.linalg.norm(shift, axis=1, keepdims=True)
+    x = np.vstack([base, 0.951 * base + np.sqrt(1 - 0.951**2) * shift]) @ axes
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    want = brute(list(range(3000)), x)
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in near_duplicates(df, columns=["vec_id"], rows_per_cell=10).collect()}
+    assert sum(n for n, _ in want.values()) >= 3000 and sum(got[i] == want[i] for i in want) / len(want) > 0.99

@@ -80,6 +80,23 @@ def bounds(x: np.ndarray, centroids: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return home, ((d - d[np.arange(len(x)), home][:, None]) / (2.0 * np.where(gap > 0, gap, 1.0))) ** 2
 
 
+def spread(x: np.ndarray) -> float:
+    """Share of a squared difference that lies across a plane between centroids of a half, at least 1 / dimensions.
+
+    Planes and differences are taken to lie as the vectors do: in few dimensions if these matter only.
+    """
+    length = x.shape[1]
+    if len(x) < 2:
+        return 1.0
+    centred = x - x.mean(axis=0)
+    total, out = (centred * centred).mean(axis=0).sum(), 1.0 / length
+    for half in (centred[:, : length // 2], centred[:, length // 2 :]):
+        moments = half.T @ half / len(x)
+        if total > 0 and (own := np.trace(moments)) > 0:
+            out = max(out, (moments * moments).sum() / (own * total))
+    return float(min(1.0, out))
+
+
 def multi_sequence(one: np.ndarray, two: np.ndarray, reach: float) -> list[tuple[int, int]]:
     """Cells (i, j) in the order of one[i] + two[j], as far as ``reach``."""
     p, q = one.argsort(), two.argsort()
@@ -178,9 +195,9 @@ def near_duplicates(
       repeat the smallest id, one is kept.
     * An empty table gives an empty result. A result takes the place of an input column of its name.
 
-    Recall: two vectors at the least cosine differ by sqrt(2 - 2 * least); across a plane by that over
-    sqrt(dimensions) times a standard normal number, if the difference has no preferred direction. A
-    pair is found if either vector visits the other's cell, so each walks half of ``deviations`` of
+    Recall: two vectors at the least cosine differ by sqrt(2 - 2 * least); across a plane by that times
+    sqrt(spread) times a standard normal number, where the spread is estimated from the sample: 1 /
+    dimensions if vectors have no preferred direction, more if few dimensions matter. A pair is found if either vector visits the other's cell, so each walks half of ``deviations`` of
     these, and never beyond the whole difference. Every row is filed. Codebooks are learned from a sample of at most SAMPLE different vectors, on
     the driver, with at most MOST_CENTROIDS centroids each.
     """
@@ -201,10 +218,10 @@ def near_duplicates(
     for length, n in lengths:
         some = classes.where(F.col("length") == length).select("key", "n", "vector")
         most = 2.0 - 2.0 * least
-        reach = min(1.0, (deviations / 2.0) ** 2 / length) * most
         k = max(1, min(MOST_CENTROIDS, math.isqrt(n // rows_per_cell)))
         sample = some.orderBy(F.xxhash64("key")).limit(SAMPLE).select("vector").toArrow()["vector"].combine_chunks()
         x = units(sample)
+        reach = min(1.0, (deviations / 2.0) ** 2 * spread(x)) * most
         books = (codebook(x[:, : length // 2], k), codebook(x[:, length // 2 :], k))
         index = materialise(filed(some, books, reach * 1.000001), "vector-index")
         part = compared(index, least)
