@@ -103,4 +103,77 @@ SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_acc
 FROM d LEFT JOIN b USING (doc_id) LEFT JOIN s USING (doc_id)"""
 
 
-ORACLE: dict[str, str] = {"op5_warc": WARC, "op7_secret_scan": secrets(), "op8_exact_dedup": EXACT, "op10_mix_sources": MIX}
+NEGATIVES = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+s AS (
+  SELECT a.vec_id AS anchor_id, v.vec_id AS other, a.label = v.label AS same, CAST(list_inner_product(a.e, v.e) AS BIGINT) AS score
+  FROM v AS a JOIN v ON a.vec_id <> v.vec_id AND len(a.e) = len(v.e) WHERE a.vec_id % 100 = 0
+),
+p AS (
+  SELECT anchor_id, other AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5
+)
+SELECT anchor_id, positive_id, CAST(row_number() OVER w AS INT) AS rank, other AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id)
+WHERE NOT same AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
+WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other)
+QUALIFY row_number() OVER w <= 5"""
+
+#: The polynomial of CRC-32, turned around, and all ones.
+CRC_POLYNOMIAL, CRC_ONES = 3988292384, 4294967295
+
+SPELLING = f"""
+WITH RECURSIVE runs AS (
+  SELECT doc_id, run, count(*) AS c
+  FROM (SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-z\\x{{C0}}-\\x{{FF}}]+')) AS run FROM documents)
+  GROUP BY ALL
+),
+tab AS (
+  SELECT list(c ORDER BY i) AS t FROM (
+    SELECT i, list_reduce(list_concat([i], [0, 0, 0, 0, 0, 0, 0, 0]), lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, {CRC_POLYNOMIAL}) ELSE c >> 1 END) AS c
+    FROM range(256) AS r(i))
+),
+named AS (SELECT run, c, hex(encode(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run)) AS x FROM runs),
+hashed AS (
+  SELECT run, c, xor(list_reduce(list_concat([{CRC_ONES}], list_transform(range(0, len(x) // 2),
+      lambda i: 16 * (strpos('0123456789ABCDEF', x[2 * i + 1]) - 1) + strpos('0123456789ABCDEF', x[2 * i + 2]) - 1)),
+    lambda a, b: xor(t[(xor(a, b) & 255) + 1], a >> 8)), {CRC_ONES}) AS h
+  FROM named, tab
+),
+w AS (
+  SELECT word, sum(c)::BIGINT AS n
+  FROM (SELECT CASE WHEN h % 97 = 0 THEN run[:h % length(run)] || run[h % length(run) + 2:] ELSE run END AS word, c FROM hashed)
+  WHERE length(word) >= 5 GROUP BY word HAVING sum(c) >= 3
+),
+cut AS (SELECT word, n, i, word[:i] || word[i + 2:] AS v FROM (SELECT word, n, unnest(range(0, length(word))) AS i FROM w)),
+near AS (
+  SELECT a.word, b.word AS other, b.n AS m FROM cut AS a JOIN cut AS b ON a.i = b.i AND a.v = b.v AND a.word <> b.word
+  UNION SELECT a.word, b.word, b.n FROM cut AS a JOIN w AS b ON a.v = b.word
+  UNION SELECT b.word, a.word, a.n FROM cut AS a JOIN w AS b ON a.v = b.word
+),
+best AS (SELECT word, count(*) AS n_near, first(other ORDER BY m DESC, other) AS other, max(m) AS m FROM near GROUP BY word),
+form AS (
+  SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN m >= 2 * w.n THEN other END AS form, CASE WHEN m >= 2 * w.n THEN m END AS form_n
+  FROM w LEFT JOIN best USING (word)
+),
+way AS (
+  SELECT word, word AS at FROM form
+  UNION ALL SELECT way.word, form.form FROM way JOIN form ON way.at = form.word WHERE form.form IS NOT NULL
+)
+SELECT form.word, form.form, way.at AS root, form.n, form.n_near, form.form_n
+FROM form JOIN way USING (word) JOIN form AS top ON top.word = way.at AND top.form IS NULL"""
+
+
+ORACLE: dict[str, str] = {
+    "op5_warc": WARC,
+    "op7_secret_scan": secrets(),
+    "op8_exact_dedup": EXACT,
+    "op10_mix_sources": MIX,
+    "op11_hard_negatives": NEGATIVES,
+    "op12_spelling_variants": SPELLING,
+}

@@ -10,14 +10,17 @@ from pyspark.sql import functions as F
 
 from tickloom.llm import embeddings
 from tickloom.llm.bpe import decode, encode
-from tickloom.llm.common import table
+from tickloom.llm.common import materialise, table
 from tickloom.llm.exact_dedup import exact_dedup
 from tickloom.llm.language import identify, train
 from tickloom.llm.minhash import near_duplicates
 from tickloom.llm.mixing import mix
+from tickloom.llm.negatives import hard_negatives
+from tickloom.llm.neighbours import nearest
 from tickloom.llm.passages import repeated_passages
 from tickloom.llm.secrets import joined, scan_secrets
 from tickloom.llm.sharding import shuffle_into_shards
+from tickloom.llm.spelling import counted_words, deleted_at, spelling_variants
 from tickloom.llm.warc import read_warc, resolved, write_warc
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -102,6 +105,34 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents"), columns=["doc_id"])
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of other labels that score nearly as high as the positives of every hundredth vector."""
+    rows = table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, F.pmod(F.col("label") + 1, F.lit(10))).otherwise(F.col("label"))
+    return hard_negatives(rows.withColumn("label", moved), F.col("vec_id") % 100 == 0)
+
+
+def misspelt_runs(docs: DataFrame) -> DataFrame:
+    """A row (word) per run of letters, A-Z in lower case; by a hash of document and run, some lack a code point."""
+    lower = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    runs = docs.select("doc_id", F.explode(F.regexp_extract_all(lower, F.lit("([A-Za-z\u00C0-\u00FF]+)"), F.lit(1))).alias("run"))
+    name = F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), "run")
+    runs = runs.withColumn("h", F.crc32(name.cast("binary")))
+    place = (F.col("h") % F.length("run")).cast("int")
+    return runs.select(F.when(F.col("h") % 97 == 0, deleted_at(F.col("run"), place)).otherwise(F.col("run")).alias("word"))
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The usual form and the root of every word of the documents that occurs three times or more."""
+    return spelling_variants(materialise(counted_words(misspelt_runs(table(spark, sf_dir, "documents"))), "spelling-counts"))
+
+
+def op13_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest vectors of every twentieth one."""
+    found = nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+    return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_minhash_dedup": op2_minhash_dedup,
@@ -113,4 +144,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_bpe": op9_bpe,
     "op10_mix_sources": op10_mix_sources,
+    "op11_hard_negatives": op11_hard_negatives,
+    "op12_spelling_variants": op12_spelling_variants,
+    "op13_nearest": op13_nearest,
 }
