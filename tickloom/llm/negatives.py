@@ -33,6 +33,8 @@ LEAST_A_LEAF = 4
 SEEDS = 4
 #: Relative slack of distances, far above the rounding of whole numbers in double precision.
 SLACK = 1e-9
+#: What is asked without windows: any score.
+EVERY = ({"low": -np.inf, "high": np.inf},)
 
 
 @dataclass
@@ -68,7 +70,7 @@ def grow(sample: np.ndarray, rows: int, ways: int = WAYS, rows_a_leaf: int = ROW
     while todo:
         x, parent, way = todo.pop()
         # Points too close for their distances to tell them apart stay in one leaf.
-        points = spread_out(x, ways) if len(x) > capacity else x[:1]
+        points = spread_out(x, min(ways, math.ceil(len(x) / capacity))) if len(x) > capacity else x[:1]
         if len(points) == 1:
             child, leaves = -1 - leaves, leaves + 1
         else:
@@ -220,12 +222,19 @@ def scored(residents: pa.Table, visitors: pa.Table, same: bool, first: int) -> p
     rows: list[tuple[np.ndarray, ...]] = []
     for begin in range(0, len(q), 128):
         scores = q[begin : begin + 128] @ x.T
-        fits = (asked[begin : begin + 128, None] == mine[None, :]) == same
-        for i, own in enumerate(scores):
-            for w, (low, high) in enumerate((p["low"], p["high"]) for p in windows[begin + i] or [{"low": -np.inf, "high": np.inf}]):
-                at = np.flatnonzero(fits[i] & (own >= low) & (own <= high))
-                at = at[np.argsort(-own[at], kind="stable")[:first]]
-                rows.append((np.full(at.shape, begin + i), np.full(at.shape, w), at, own[at]))
+        asks = [np.array([(p["low"], p["high"]) for p in w or EVERY]).reshape(-1, 2) for w in windows[begin : begin + 128]]
+        lowest, highest = (np.array([f(w[:, k]) for w in asks])[:, None] for k, f in ((0, np.min), (1, np.max)))
+        of, at = np.nonzero(((asked[begin : begin + 128, None] == mine[None, :]) == same) & (scores >= lowest) & (scores <= highest))
+        down = -scores[of, at]
+        order = np.lexsort((down, of))
+        at, down, ends = at[order], down[order], np.searchsorted(of, np.arange(len(asks) + 1))
+        for i, w in enumerate(asks):
+            own = down[ends[i] : ends[i + 1]]
+            starts = np.searchsorted(own, -w[:, 1], "left")
+            stops = np.minimum(starts + first, np.searchsorted(own, -w[:, 0], "right"))
+            for k in np.flatnonzero(stops > starts):
+                some = slice(ends[i] + starts[k], ends[i] + stops[k])
+                rows.append((np.full(at[some].shape, begin + i), np.full(at[some].shape, k), at[some], -down[some]))
     of, window, at, score = (np.concatenate(c) if rows else np.zeros(0, np.int64) for c in (zip(*rows) if rows else ([],) * 4))
     found = residents.select(["id", "uid"]).take(pa.array(at, pa.int64()))
     return pa.table({"query": visitors["query"].take(pa.array(of, pa.int64())), "window": pa.array(window, pa.int32()), "id": found["id"], "uid": found["uid"], "score": pa.array(score, pa.float64())})
