@@ -28,6 +28,7 @@ from tickloom.llm.common import materialise
 
 SHORTEST, LONGEST = 2, 4
 SLICE = 1024
+WORDS_A_TASK, MOST_TASKS = 20_000, 20_000
 GRAMS_A_LENGTH = 20_000
 #: A gram is extended if it is this many times as frequent as a gram must be to be in the dictionary.
 EXTEND = 4
@@ -178,7 +179,8 @@ def listed(words: DataFrame, d: Dictionary) -> DataFrame:
                 new = [pa.array(c, t) for c, t in zip(columns, types)]
                 yield pa.RecordBatch.from_arrays([*part.select(["word", "n"]).take(pa.array(at, pa.int32())).columns, *new], ["word", "n", "text", "side", "points", "longer"])
 
-    rows = words.select("word", "n").mapInArrow(run, "word string, n long, text string, side int, points int, longer boolean")
+    tasks = max(1, min(MOST_TASKS, words.count() // WORDS_A_TASK))
+    rows = words.select("word", "n").repartition(tasks, "word").mapInArrow(run, "word string, n long, text string, side int, points int, longer boolean")
     return rows.select("word", "n", "longer", F.xxhash64("text", "side", "points").alias("key"))
 
 
