@@ -10,10 +10,11 @@ from tickloom.config import Lakehouse, shared_folder
 from tickloom.functions.partitions import touched_by
 from tickloom.operators import history, indicators, quality
 from tickloom.operators.bars import daily_bars
-from tickloom.operators.upsert import merge_rows, upsert
+from tickloom.operators.upsert import merge_rows
 from tickloom.registry import batch, views
 from tickloom.registry.views import view
 from tickloom.schemas import TABLES
+from tickloom.sinks.files import append_table
 from tickloom.sources.tables import read_table
 from tests.conftest import DATA
 
@@ -28,7 +29,7 @@ def plan(df):
 @pytest.fixture(scope="module")
 def bars_table(spark):
     path = Lakehouse(shared_folder(spark, "plans")).path(KEY)
-    upsert(view(spark, SF, views.BARS), path, TABLES[KEY])
+    append_table(view(spark, SF, views.BARS), path, TABLES[KEY].partition_by)
     return read_table(spark, path, TABLES[KEY].schema)
 
 

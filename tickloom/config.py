@@ -8,7 +8,16 @@ from dataclasses import dataclass
 
 from pyspark.sql import SparkSession
 
-from tickloom.schemas import TABLES
+from tickloom.schemas import TABLES, TableSpec
+
+
+@dataclass(frozen=True)
+class Target:
+    """A table by its name in the catalog, with its folder and schema."""
+
+    name: str
+    path: str
+    spec: TableSpec
 
 
 @dataclass(frozen=True)
@@ -31,6 +40,9 @@ class Lakehouse:
         spec = TABLES[key]
         return f"{self.root}/{self.env}/{spec.layer}/{spec.name}"
 
+    def target(self, key: str) -> Target:
+        return Target(self.table(key), self.path(key), TABLES[key])
+
     def landing(self, feed: str) -> str:
         return f"{self.root}/{self.env}/raw-data/{feed}"
 

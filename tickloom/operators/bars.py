@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -32,6 +34,34 @@ def daily_bars(prices: DataFrame) -> DataFrame:
     return keyed.groupBy("symbol", "year", "month", "date").agg(*_measures()).select(*_COLUMNS)
 
 
+def partial_bars(prices: DataFrame) -> DataFrame:
+    """The bars of some prices with the sum and number of prices, from which bars of more prices follow."""
+    keyed = prices.withColumn("date", F.to_date("extract_time"))
+    sums = [F.sum("current_price").alias("price_sum"), F.count("current_price").alias("price_count")]
+    return keyed.groupBy("symbol", "year", "month", "date").agg(*_measures(), *sums).select(*_COLUMNS, "price_sum", "price_count")
+
+
+def _sum(side: Callable[[str], Column]) -> Column:
+    # A bar that was stored without its sums counts as one price.
+    return F.coalesce(side("price_sum"), side("avg_price"), F.lit(0.0))
+
+
+def _count(side: Callable[[str], Column]) -> Column:
+    return F.coalesce(side("price_count"), F.when(side("avg_price").isNotNull(), 1).otherwise(0).cast("long"))
+
+
+#: How the bar of all prices follows from two partial ones.
+MERGED = {
+    "open": lambda a, b: F.greatest(a("open"), b("open")),
+    "day_high": lambda a, b: F.greatest(a("day_high"), b("day_high")),
+    "day_low": lambda a, b: F.least(a("day_low"), b("day_low")),
+    "volume": lambda a, b: F.greatest(a("volume"), b("volume")),
+    "avg_price": lambda a, b: F.try_divide(_sum(a) + _sum(b), _count(a) + _count(b)),
+    "price_sum": lambda a, b: _sum(a) + _sum(b),
+    "price_count": lambda a, b: _count(a) + _count(b),
+}
+
+
 def daily_bars_windowed(prices: DataFrame) -> DataFrame:
     """The same bars over tumbling one-day windows, whose state ends with the watermark."""
     grouped = prices.groupBy("symbol", F.window("extract_time", "1 day").alias("span")).agg(*_measures())

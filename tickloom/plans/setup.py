@@ -6,6 +6,7 @@ from pyspark.sql import SparkSession
 
 from tickloom.config import Lakehouse
 from tickloom.schemas import TABLES
+from tickloom.sinks.catalog import ensure_table
 
 
 def create_databases(spark: SparkSession, lake: Lakehouse) -> None:
@@ -16,11 +17,8 @@ def create_databases(spark: SparkSession, lake: Lakehouse) -> None:
 
 def create_tables(spark: SparkSession, lake: Lakehouse) -> None:
     """Create what is missing; existing tables and their data stay."""
-    for key, spec in TABLES.items():
-        spark.sql(
-            f"CREATE TABLE IF NOT EXISTS {lake.table(key)} ({spec.stored_schema.toDDL()}) USING parquet "
-            f"PARTITIONED BY ({', '.join(spec.folders)}) LOCATION '{lake.path(key)}'"
-        )
+    for key in TABLES:
+        ensure_table(spark, lake.target(key))
 
 
 def set_up(spark: SparkSession, lake: Lakehouse) -> None:
@@ -29,6 +27,6 @@ def set_up(spark: SparkSession, lake: Lakehouse) -> None:
 
 
 def refresh_partitions(spark: SparkSession, lake: Lakehouse, key: str) -> None:
-    """Make partitions that were written by path visible to the catalog table."""
+    """Make partitions that were appended by path visible to the catalog; upserted tables need none of it."""
     spark.catalog.recoverPartitions(lake.table(key))
     spark.catalog.refreshTable(lake.table(key))

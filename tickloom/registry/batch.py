@@ -19,6 +19,7 @@ from tickloom.plans.setup import refresh_partitions, set_up
 from tickloom.registry import views
 from tickloom.registry.views import rounded, table, view
 from tickloom.schemas import PRICE_FEED, TABLES
+from tickloom.sinks.catalog import read_target
 from tickloom.sinks.files import land_history, max_partition, preview, write_batch
 from tickloom.sources.feeds import read_feed, read_untyped
 from tickloom.sources.inventory import list_files
@@ -39,8 +40,10 @@ def _bars(spark: SparkSession, sf: str) -> DataFrame:
     return view(spark, sf, views.BARS)
 
 
-def _lake(spark: SparkSession, purpose: str) -> Lakehouse:
-    return Lakehouse(shared_folder(spark, purpose))
+def fresh_lake(spark: SparkSession, purpose: str) -> Lakehouse:
+    """A lakehouse of its own folder and databases."""
+    root = shared_folder(spark, purpose)
+    return Lakehouse(root, env=f"t{root.rsplit('-', 1)[-1]}")
 
 
 # Sources and sinks
@@ -57,7 +60,7 @@ def sql_select_all(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def csv_untyped_read(spark: SparkSession, sf: str) -> DataFrame:
-    folder = _lake(spark, "untyped").landing("hourly_prices")
+    folder = fresh_lake(spark, "untyped").landing("hourly_prices")
     land_history(_ticks(spark, sf), folder)
     untyped = read_untyped(spark, folder)
     # The texts of doubles differ between engines; their values must not.
@@ -77,7 +80,7 @@ def symbol_list(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
-    lake = _lake(spark, "roundtrip")
+    lake = fresh_lake(spark, "roundtrip")
     fetched = view(spark, sf, views.FETCHED)
     land(fetched, lake, "pric", F.col("taken_at"))
     return rounded(read_feed(spark, lake.landing(lake.price_feed), PRICE_FEED))
@@ -88,7 +91,7 @@ def preview_limit(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def file_inventory(spark: SparkSession, sf: str) -> DataFrame:
-    folder = _lake(spark, "inventory").landing("bars")
+    folder = fresh_lake(spark, "inventory").landing("bars")
     land_history(_bars(spark, sf), folder)
     read = read_untyped(spark, folder).groupBy(F.col("_metadata.file_path").alias("read_path"), F.col("_metadata.file_size").alias("size"))
     read = read.agg(F.count(F.lit(1)).alias("rows"))
@@ -103,15 +106,14 @@ def file_inventory(spark: SparkSession, sf: str) -> DataFrame:
 
 def ddl_catalog(spark: SparkSession, sf: str) -> DataFrame:
     """Set up all tables, fill two of them, and read those through the catalog."""
-    root = shared_folder(spark, "catalog")
-    lake = Lakehouse(root, env=f"t{root.rsplit('-', 1)[-1]}")
+    lake = fresh_lake(spark, "catalog")
     set_up(spark, lake)
     prices, bars = "bronze.prices", "silver.daily_price_aggregates"
     write_batch(_ticks(spark, sf), lake.path(prices), TABLES[prices].partition_by, "load-1")
-    upsert(_bars(spark, sf), lake.path(bars), TABLES[bars])
+    refresh_partitions(spark, lake, prices)
+    upsert(_bars(spark, sf), lake.target(bars))
     counts = []
     for key in (prices, bars):
-        refresh_partitions(spark, lake, key)
         per_month = spark.table(lake.table(key)).groupBy("year", "month").agg(F.count(F.lit(1)).alias("n"))
         counts.append(per_month.withColumn("table_name", F.lit(key)))
     return history.union_by_name(counts)
@@ -350,7 +352,7 @@ def dq_gate_prices(spark: SparkSession, sf: str) -> DataFrame:
 
 def dq_file_arrival(spark: SparkSession, sf: str) -> DataFrame:
     """A feed landed just now, checked in the hour of its newest file, in another hour, and for another month."""
-    lake = _lake(spark, "arrival")
+    lake = fresh_lake(spark, "arrival")
     land(view(spark, sf, views.FETCHED), lake, "pric", F.current_timestamp())
     folder = lake.landing(lake.price_feed)
     came = list_files(spark, folder).agg(F.max("modificationTime")).first()[0]
@@ -368,7 +370,7 @@ def dq_file_arrival(spark: SparkSession, sf: str) -> DataFrame:
 
 def dq_log_append(spark: SparkSession, sf: str) -> DataFrame:
     """The log of two runs, the first of them retried, as it is read back."""
-    path = _lake(spark, "log").path("logging.dq_log")
+    path = fresh_lake(spark, "log").path("logging.dq_log")
     labels, customers = view(spark, sf, views.DOC_LABELS), table(spark, sf, "customer")
     nulls = quality.evaluate(labels, [quality.NullCheck(["doc_id", "quality", "toxic"])], _ctx("doc_labels"))
     signs = quality.evaluate(customers, [quality.NonNegativeCheck(["c_acctbal", "c_custkey"])], _ctx("customer"))
@@ -382,24 +384,22 @@ def dq_log_append(spark: SparkSession, sf: str) -> DataFrame:
 
 def upsert_daily_bars(spark: SparkSession, sf: str) -> DataFrame:
     """Bars of a first part of the ticks, then all bars from a week before its end on."""
-    key = "silver.daily_price_aggregates"
-    spec, path = TABLES[key], _lake(spark, "bars").path(key)
+    target = fresh_lake(spark, "bars").target("silver.daily_price_aggregates")
     ticks = _ticks(spark, sf)
-    upsert(bar_ops.daily_bars(ticks.filter("extract_time < TIMESTAMP '2024-01-20 12:00:00'")), path, spec)
+    upsert(bar_ops.daily_bars(ticks.filter("extract_time < TIMESTAMP '2024-01-20 12:00:00'")), target)
     changes = bar_ops.daily_bars(ticks).filter("date >= DATE '2024-01-13'")
-    upsert(changes, path, spec, ("open", "day_high", "day_low", "avg_price", "volume"))
-    return rounded(read_table(spark, path, spec.schema), 8)
+    upsert(changes, target, ("open", "day_high", "day_low", "avg_price", "volume"))
+    return rounded(read_target(spark, target), 8)
 
 
 def upsert_indicators(spark: SparkSession, sf: str) -> DataFrame:
     """Stored rows with an outdated column, then the right rows for the later part."""
-    key = "gold.daily_price_indicators"
-    spec, path = TABLES[key], _lake(spark, "indicators").path(key)
+    target = fresh_lake(spark, "indicators").target("gold.daily_price_indicators")
     right = indicators.daily_indicators(_bars(spark, sf))
     outdated = right.filter("date < DATE '2000-01-01'").withColumn("ma_12", F.col("ma_12") + 1000)
-    upsert(outdated, path, spec)
-    upsert(right.filter("date >= DATE '1998-01-01'"), path, spec)
-    return rounded(read_table(spark, path, spec.schema), 4)
+    upsert(outdated, target)
+    upsert(right.filter("date >= DATE '1998-01-01'"), target)
+    return rounded(read_target(spark, target), 4)
 
 
 QUERIES: dict[str, Query] = {

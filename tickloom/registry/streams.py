@@ -7,13 +7,14 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.config import Lakehouse, shared_folder
+from tickloom.config import Lakehouse
 from tickloom.registry import views
-from tickloom.registry.batch import CHECKED_AT, Query
+from tickloom.registry.batch import CHECKED_AT, Query, fresh_lake
 from tickloom.registry.views import rounded, table, view
 from tickloom.schemas import FUNDAMENTALS_FEED, PRICE_FEED, SILVER_PRICES, TABLES
 from tickloom.operators.cleaning import cast_ints
 from tickloom.operators.upsert import upsert
+from tickloom.sinks.catalog import read_target
 from tickloom.sinks.files import append_table, land_history, write_batch
 from tickloom.sources.inventory import list_files
 from tickloom.sources.tables import read_table
@@ -33,6 +34,8 @@ def _store(rows: DataFrame, lake: Lakehouse, key: str) -> None:
 
 
 def _stored(spark: SparkSession, lake: Lakehouse, key: str) -> DataFrame:
+    if TABLES[key].versioned:
+        return read_target(spark, lake.target(key))
     return read_table(spark, lake.path(key), TABLES[key].schema)
 
 
@@ -47,7 +50,7 @@ def _make_old(spark: SparkSession, folder: str, old: bool) -> None:
 
 
 def stream_prices_ingest(spark: SparkSession, sf: str) -> DataFrame:
-    lake = Lakehouse(shared_folder(spark, "prices"))
+    lake = fresh_lake(spark, "prices")
     ticks = view(spark, sf, views.TICKS).select(*PRICE_FEED.names)
     for part in (_CUT, f"NOT {_CUT}"):
         land_history(ticks.filter(part), lake.landing(lake.price_feed))
@@ -57,7 +60,7 @@ def stream_prices_ingest(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def stream_fundamentals_ingest(spark: SparkSession, sf: str) -> DataFrame:
-    lake = Lakehouse(shared_folder(spark, "fundamentals"))
+    lake = fresh_lake(spark, "fundamentals")
     rows = view(spark, sf, views.FUNDAMENTALS).select(*FUNDAMENTALS_FEED.names)
     cut = f"extract_time < {_FUND_CUT}"
     for part in (cut, f"NOT {cut}"):
@@ -69,7 +72,7 @@ def stream_fundamentals_ingest(spark: SparkSession, sf: str) -> DataFrame:
 
 def stream_silver_prices(spark: SparkSession, sf: str) -> DataFrame:
     """Single ticks are no complete snapshots, so the gate only logs."""
-    lake = Lakehouse(shared_folder(spark, "silver"))
+    lake = fresh_lake(spark, "silver")
     rows = view(spark, sf, views.DELIVERIES)
     symbols = table(spark, sf, "events").selectExpr("event_type AS symbol").distinct()
     for part in (_CUT, f"NOT {_CUT}"):
@@ -80,7 +83,7 @@ def stream_silver_prices(spark: SparkSession, sf: str) -> DataFrame:
 
 def stream_fundamentals_dedup(spark: SparkSession, sf: str) -> DataFrame:
     """The second delivery repeats the last month of the first."""
-    lake = Lakehouse(shared_folder(spark, "dedup"))
+    lake = fresh_lake(spark, "dedup")
     rows = view(spark, sf, views.FUNDAMENTALS)
     for part in (f"extract_time < {_FUND_CUT}", f"extract_time >= {_FUND_CUT} - INTERVAL 1 MONTH"):
         _store(rows.filter(part), lake, "bronze.fundamentals")
@@ -90,7 +93,7 @@ def stream_fundamentals_dedup(spark: SparkSession, sf: str) -> DataFrame:
 
 def _daily_bars(windowed: bool) -> Query:
     def query(spark: SparkSession, sf: str) -> DataFrame:
-        lake = Lakehouse(shared_folder(spark, "bars"))
+        lake = fresh_lake(spark, "bars")
         prices = cast_ints(view(spark, sf, views.TICKS), ["market_cap"]).select(*SILVER_PRICES.names)
         for part in (_CUT, f"NOT {_CUT}"):
             _store(prices.filter(part), lake, "silver.prices")
@@ -102,7 +105,7 @@ def _daily_bars(windowed: bool) -> Query:
 
 def stream_replay(spark: SparkSession, sf: str) -> DataFrame:
     """Ticks through silver to bars, with the first batch of bronze written again between two runs."""
-    lake = Lakehouse(shared_folder(spark, "replay"))
+    lake = fresh_lake(spark, "replay")
     ticks, spec = view(spark, sf, views.TICKS), TABLES["bronze.prices"]
     symbols = table(spark, sf, "events").selectExpr("event_type AS symbol").distinct()
     parts = {"q-0": _CUT, "q-1": f"NOT {_CUT}"}
@@ -116,12 +119,12 @@ def stream_replay(spark: SparkSession, sf: str) -> DataFrame:
 
 def stream_indicators(spark: SparkSession, sf: str) -> DataFrame:
     """Bars in two deliveries, of which the first has wrong prices on one day that are corrected at last."""
-    lake = Lakehouse(shared_folder(spark, "indicators"))
+    lake = fresh_lake(spark, "indicators")
     key, wrong = "silver.daily_price_aggregates", F.col("date") == F.lit("1999-06-15").cast("date")
     bars = view(spark, sf, views.BARS)
     first = bars.filter("date < DATE '2000-03-15'").withColumn("avg_price", F.when(wrong, F.col("avg_price") * 3).otherwise(F.col("avg_price")))
     for rows in (first, bars.filter("date >= DATE '2000-03-15'"), bars.filter(wrong)):
-        upsert(rows, lake.path(key), TABLES[key])
+        upsert(rows, lake.target(key))
         gold.roll_indicators(spark, lake)
     return rounded(_stored(spark, lake, "gold.daily_price_indicators"), 4)
 

@@ -86,6 +86,9 @@ FUNDAMENTALS_AMOUNTS = (
 # Innermost partition of tables that streams append to: which micro-batch wrote a row.
 BATCH_TAG = "batch_tag"
 
+# Kept beside a bar's average, so that bars of later prices can be merged into it.
+BAR_PARTIALS = _struct("price_sum double, price_count long")
+
 
 @dataclass(frozen=True)
 class TableSpec:
@@ -98,12 +101,14 @@ class TableSpec:
     key: tuple[str, ...] = ()
     tagged: bool = False
     change_feed: bool = False
+    versioned: bool = False
+    partials: StructType = StructType()
 
     @property
     def stored_schema(self) -> StructType:
-        """Columns of the files and folders, the batch tag included."""
+        """Columns of the files and folders, partial sums and the batch tag included."""
         tag = [StructField(BATCH_TAG, StringType())] if self.tagged else []
-        return StructType(self.schema.fields + tag)
+        return StructType(self.schema.fields + self.partials.fields + tag)
 
     @property
     def feed_schema(self) -> StructType:
@@ -124,7 +129,7 @@ TABLES = {
         TableSpec("bronze", "prices", PRICE_FEED, BY_DAY, tagged=True),
         TableSpec("silver", "fundamentals", SILVER_FUNDAMENTALS, BY_DAY, FUNDAMENTALS_KEY, tagged=True),
         TableSpec("silver", "prices", SILVER_PRICES, BY_DAY, PRICE_KEY, tagged=True),
-        TableSpec("silver", "daily_price_aggregates", DAILY_BARS, BY_MONTH, BAR_KEY, change_feed=True),
-        TableSpec("gold", "daily_price_indicators", DAILY_INDICATORS, BY_MONTH, BAR_KEY),
+        TableSpec("silver", "daily_price_aggregates", DAILY_BARS, BY_MONTH, BAR_KEY, change_feed=True, versioned=True, partials=BAR_PARTIALS),
+        TableSpec("gold", "daily_price_indicators", DAILY_INDICATORS, BY_MONTH, BAR_KEY, versioned=True),
     )
 }

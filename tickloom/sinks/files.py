@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -69,18 +68,25 @@ def write_batch(df: DataFrame, path: str, partition_by: Sequence[str], batch_tag
         .partitionBy(*partition_by, BATCH_TAG)
         .parquet(path)
     )
-    df.sparkSession.range(1, numPartitions=1).write.mode("overwrite").parquet(marker)
+    mark(df.sparkSession, marker)
+
+
+def file_system(spark: SparkSession, path: str):
+    """The file system of a path, and a function from text to its paths."""
+    to_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    return to_path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), to_path
 
 
 def exists(spark: SparkSession, path: str) -> bool:
-    """Whether a folder is there; its files are not listed or read."""
-    try:
-        spark.read.schema("id long").parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return False
-    return True
+    """Whether a folder or file is there; nothing is listed or read."""
+    fs, to_path = file_system(spark, path)
+    return fs.exists(to_path(path))
+
+
+def mark(spark: SparkSession, path: str) -> None:
+    """Leave a marker: a folder with an empty ``_SUCCESS``."""
+    fs, to_path = file_system(spark, path)
+    fs.create(to_path(f"{path}/_SUCCESS"), True).close()
 
 
 def batch_tag(batch: DataFrame, batch_id: int) -> str:

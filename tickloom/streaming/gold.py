@@ -12,9 +12,9 @@ from tickloom.config import Lakehouse
 from tickloom.operators.indicators import WINDOWS
 from tickloom.operators.upsert import feed_path, upsert
 from tickloom.plans.gold import refreshed_indicators
-from tickloom.schemas import TABLES
-from tickloom.sinks.files import drain_batches
-from tickloom.sources.tables import read_table, stream_table
+from tickloom.sinks.catalog import read_target
+from tickloom.sinks.files import batch_tag, drain_batches
+from tickloom.sources.tables import stream_table
 
 
 def roll_indicators(
@@ -29,21 +29,18 @@ def roll_indicators(
 
     The source is the change feed of the bars: one corrected bar recomputes its symbol alone.
     """
-    bars = TABLES["silver.daily_price_aggregates"]
-    bars_path, bars_schema = lake.path("silver.daily_price_aggregates"), bars.schema
-    gold_path, spec = lake.path("gold.daily_price_indicators"), TABLES["gold.daily_price_indicators"]
+    bars, gold = lake.target("silver.daily_price_aggregates"), lake.target("gold.daily_price_indicators")
 
     def store(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
         changed = batch.select("symbol", "date").persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            stored = read_table(session, bars_path, bars_schema)
-            gold = read_table(session, gold_path, spec.schema, missing_ok=True)
-            fresh = refreshed_indicators(changed, stored, gold, windows, order, refresh)
+            stored, known = read_target(session, bars), read_target(session, gold)
+            fresh = refreshed_indicators(changed, stored, known, windows, order, refresh)
             if fresh is not None:
-                upsert(fresh, gold_path, spec)
+                upsert(fresh, gold, tag=batch_tag(batch, batch_id))
         finally:
             changed.unpersist()
 
-    stream = stream_table(spark, feed_path(bars_path), bars.feed_schema, max_files)
+    stream = stream_table(spark, feed_path(bars.path), bars.spec.feed_schema, max_files)
     return drain_batches(stream, store, lake.checkpoint("gold_indicators"), mode="update")

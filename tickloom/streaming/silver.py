@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tickloom.config import Lakehouse
-from tickloom.operators.bars import daily_bars, daily_bars_windowed
+from tickloom.operators.bars import MERGED, daily_bars_windowed, partial_bars
 from tickloom.operators.cleaning import add_categories, cast_ints, clean_prices, filter_not_null
 from tickloom.operators.quality import LogContext, enforce, evaluate, price_gate
 from tickloom.operators.upsert import upsert
@@ -105,18 +105,21 @@ def roll_daily_bars(
 ) -> StreamingQuery:
     """Keep the daily bars up to date from new silver prices.
 
-    Each changed bar is emitted whole and replaces the stored one. As a plain grouping the state
-    keeps every bar and takes late rows of any age; ``windowed`` drops rows older than the
-    watermark and forgets finished days.
+    Each micro-batch is rolled up by itself, with the sum and number of its prices, and merged into the
+    stored bars: late rows of any age arrive, and no state is kept besides the table. ``windowed`` is the
+    form with a state, which drops rows older than the watermark and forgets finished days.
     """
-    spec = TABLES["silver.daily_price_aggregates"]
-    path = lake.path("silver.daily_price_aggregates")
+    target = lake.target("silver.daily_price_aggregates")
+    prices = stream_table(spark, lake.path("silver.prices"), TABLES["silver.prices"].schema, max_files)
+    if windowed:
 
-    def store(batch: DataFrame, batch_id: int) -> None:
-        upsert(batch, path, spec, BAR_UPDATES, batch_tag(batch, batch_id))
+        def replace(batch: DataFrame, batch_id: int) -> None:
+            upsert(batch, target, BAR_UPDATES, batch_tag(batch, batch_id))
 
-    prices = stream_table(spark, lake.path("silver.prices"), TABLES["silver.prices"].schema, max_files)
-    aggregate = daily_bars_windowed if windowed else daily_bars
-    bars = aggregate(prices.withWatermark("extract_time", BAR_DELAY))
-    name = "silver_dailyagg_windowed" if windowed else "silver_dailyagg"
-    return drain_batches(bars, store, lake.checkpoint(name), mode="update")
+        bars = daily_bars_windowed(prices.withWatermark("extract_time", BAR_DELAY))
+        return drain_batches(bars, replace, lake.checkpoint("silver_dailyagg_windowed"), mode="update")
+
+    def merge(batch: DataFrame, batch_id: int) -> None:
+        upsert(partial_bars(batch), target, tag=batch_tag(batch, batch_id), combine=MERGED)
+
+    return drain_batches(prices, merge, lake.checkpoint("silver_dailyagg"))
