@@ -108,3 +108,36 @@ def test_odd_rows(spark):
     assert kept.schema == docs.schema
     assert kept.count() == sum(n == 0 for n, _ in want) + len({(c if c is not None else t) for (_, t), (n, c) in zip(TEXTS, want) if n}) + 1
     assert drop_near_duplicates(none(spark)).count() == 0 and near_duplicates(none(spark)).count() == 0
+
+
+def test_texts_alike_below_the_threshold_stay_inside_their_blocks(spark, monkeypatch):
+    import tickloom.llm.minhash as m
+
+    monkeypatch.setattr(m, "BLOCK", 30)
+    made = []
+    real = m.materialise
+    monkeypatch.setattr(m, "materialise", lambda df, purpose: made.append((purpose, real(df, purpose))) or made[-1][1])
+    rng = random.Random(5)
+    base = [f"w{i}" for i in range(150)]
+    texts = []
+    for _ in range(150):
+        w = list(base)
+        for k in rng.sample(range(1, 15), 4):
+            w[10 * k] = f"x{rng.randrange(10**6)}"
+        texts.append(" ".join(w))
+    texts += [texts[3] + " end", texts[3] + " end of it"]
+    rows = list(enumerate(texts))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5, "doc_id")
+    want = {r[0]: w for r, w in zip(rows, brute(rows, 85))}
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in m.near_duplicates(docs, columns=["doc_id"], percent=85).collect()}
+    assert got == want
+    assert max(df.count() for purpose, df in made if purpose in ("minhash-links", "minhash-candidates")) < 12 * len(texts)
+
+
+def test_components_of_a_long_path_settle(spark):
+    from tickloom.llm.common import components
+
+    order = list(range(300))
+    random.Random(1).shuffle(order)
+    edges = spark.createDataFrame(list(zip(order, order[1:])), "a long, b long")
+    assert {tuple(r) for r in components(edges).collect()} == {(i, 0) for i in range(300)}

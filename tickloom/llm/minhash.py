@@ -6,10 +6,11 @@ to place i - t, so 2 t rounds fill every place of any set that isn't empty. Equa
 the Jaccard similarity with the concentration of independent draws.
 
 Candidates share a band of the sketch. Some rounds give each bucket a hub and verify its members
-against it, which joins groups of near copies without any pair inside them. Only buckets whose
-members are then in several components have their pairs across components compared, in blocks of
-bounded size: first the most alike of each member, whose links join more, then all that is left and
-that sizes and sketches don't rule out. Whatever is linked was verified on full sets.
+against it, which joins groups of near copies without any pair inside them. Buckets whose members are
+then still in several components are joined to families; a family is dealt into blocks of bounded
+size, and a block compares and verifies its members inside one task: a pair that sizes, sketches or links
+found before don't rule out is decided there on full sets. Out of a block come only links that join
+something, fewer than it has members, however many of its pairs are alike.
 """
 
 from __future__ import annotations
@@ -30,9 +31,10 @@ WIDTH = 5
 BANDS, ROWS = 24, 5
 PLACES = BANDS * ROWS
 HUB_ROUNDS = 3
-NEAREST = 4
-BLOCK = 256
-CHUNK_BYTES = 4 << 20
+BLOCK, BLOCK_SHINGLES = 512, 500_000
+ROWS_A_TASK, MOST_TASKS = 1024, 20_000
+SLICE = 256
+CHUNK_BYTES = 512 << 10
 BASE = 0x9E3779B97F4A7C15 | 1
 INVERSE = pow(BASE, -1, 1 << 64)
 
@@ -50,12 +52,20 @@ def class_key(words: bytes) -> bytes:
     return hashlib.sha256(words).digest()[:16]
 
 
+def sliced(batches: Iterator[pa.RecordBatch], rows: int = SLICE) -> Iterator[pa.RecordBatch]:
+    """Batches in slices, so that few texts are Python objects at a time; memory that Arrow no longer uses is given back."""
+    for batch in batches:
+        for first in range(0, len(batch), rows):
+            yield batch.slice(first, rows)
+        pa.default_memory_pool().release_unused()
+
+
 def normalised(rows: DataFrame) -> DataFrame:
     """Rows (text, ...) to (key, words, ...)."""
     rest = [c for c in rows.columns if c != "text"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             words = [normal(t) for t in batch["text"].to_pylist()]
             keys = pa.array([class_key(w) for w in words], pa.binary())
             yield pa.RecordBatch.from_arrays([keys, pa.array(words, pa.binary()).cast(pa.string()), *[batch[c] for c in rest]], ["key", "words", *rest])
@@ -152,7 +162,7 @@ def sketched(rows: DataFrame) -> DataFrame:
     schema = rows.selectExpr("unhex('') key", "id", "row", "0L n", "array(0L) bands", "unhex('') sketch").schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             words = [normal(t) for t in batch["text"].to_pylist()]
             sizes = np.cumsum([len(w) for w in words])
             first = 0
@@ -212,50 +222,75 @@ def with_hubs(members: DataFrame, turn: int) -> DataFrame:
     return both.select(F.col("key").alias("a"), F.col("hub.key").alias("b")).distinct()
 
 
-def rest_of_buckets(members: DataFrame, classes: DataFrame, percent: int, nearest: int | None) -> DataFrame:
-    """Pairs (a, b) across components that sizes and sketches don't rule out, or of each member the ``nearest``.
+def families(members: DataFrame) -> DataFrame:
+    """Rows (key, family): members whose buckets are joined by common members."""
+    hubs = members.groupBy("band").agg(F.min("key").alias("hub"))
+    edges = members.join(hubs, "band").select(F.col("key").alias("a"), F.col("hub").alias("b")).where("a <> b").distinct()
+    return components(edges).select(F.col("node").alias("key"), F.col("component").alias("family"))
 
-    A bucket of m members is dealt into m / BLOCK parts, and every two parts meet in a group of their
-    own, so no task sees a whole bucket; a pair comes out once for each bucket it shares.
+
+def joined_inside(members: DataFrame, classes: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) that join components of the same family: enough of them to connect whatever pairs would.
+
+    A family is dealt into parts of about BLOCK members and BLOCK_SHINGLES shingles, and every two parts
+    meet in a block; a family of one part is one block, so most texts travel once.
     """
-    members = members.withColumn("parts", F.ceil(F.col("m") / BLOCK).cast("int"))
-    members = members.join(classes.select("key", "n", "sketch"), "key").withColumn("part", F.pmod(F.xxhash64("key", F.lit(7)), "parts").cast("int"))
-    dealt = members.withColumn("other", F.explode(F.expr("sequence(0, parts - 1)")))
-    dealt = dealt.select("band", F.least("part", "other").alias("x"), F.greatest("part", "other").alias("y"), "part", "key", "component", "n", "sketch")
+    own = materialise(families(members), "minhash-families")
+    about = own.join(members.select("key", "component").distinct(), "key").join(classes.select("key", "n", "sketch"), "key")
+    sizes = own.join(classes.select("key", "n"), "key").groupBy("family").agg(F.count("*").alias("m"), F.sum("n").alias("s"))
+    parts = F.ceil(F.greatest(F.col("m") / BLOCK, F.col("s") / BLOCK_SHINGLES)).cast("int")
+    sizes = materialise(sizes.select("family", "m", parts.alias("parts")), "minhash-family-sizes")
+    rows = sizes.agg(F.sum(F.col("m") * F.col("parts"))).first()[0] or 0
+    tasks = int(min(MOST_TASKS, max(1, rows // ROWS_A_TASK)))
+    dealt = about.join(sizes, "family").withColumn("part", F.pmod(F.xxhash64("key", F.lit(7)), "parts").cast("int"))
+    dealt = dealt.join(texts, "key").withColumn("other", F.explode(F.expr("sequence(0, parts - 1)")))
+    dealt = dealt.select("family", F.least("part", "other").alias("x"), F.greatest("part", "other").alias("y"), "part", "key", "component", "n", "sketch", "words")
     least = least_equal(percent)
 
-    def compare(table: list[tuple]) -> Iterator[tuple[bytes, bytes]]:
-        _, x, y = table[0][:3]
-        left, right = ([r for r in table if r[3] == p] for p in (x, y))
-        if not left or not right:
-            return
-        a, b = (np.frombuffer(b"".join(r[7] for r in side), "<u2").reshape(len(side), PLACES) for side in (left, right))
-        na, nb = (np.array([r[6] for r in side]) for side in (left, right))
-        ids = {c: i for i, c in enumerate({r[5] for r in table})}
-        ca, cb = (np.array([ids[r[5]] for r in side]) for side in (left, right))
-        fits = (np.minimum.outer(na, nb) * 100 >= np.maximum.outer(na, nb) * percent) & (ca[:, None] != cb[None, :])
-        for i in np.flatnonzero(fits.any(axis=1)):
-            at = np.flatnonzero(fits[i])
-            equal = (a[i] == b[at]).sum(axis=1)
-            at, equal = at[equal >= least], equal[equal >= least]
-            for j in at[np.argsort(-equal, kind="stable")[:nearest]]:
-                p, q = left[i][4], right[j][4]
-                yield (max(p, q), min(p, q))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple] = []
-        for batch in batches:
-            found: set[tuple[bytes, bytes]] = set()
-            for row in zip(*[c.to_pylist() for c in batch.columns]):
-                if held and held[0][:3] != row[:3]:
-                    found.update(compare(held))
-                    held = []
-                held.append(row)
-            yield _pairs(found)
-        yield _pairs(set(compare(held)) if held else set())
+    def compare(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks()
+        keys, part = table["key"].to_pylist(), table["part"].to_numpy()
+        x, y = table["x"][0].as_py(), table["y"][0].as_py()
+        sketch = np.frombuffer(b"".join(table["sketch"].to_pylist()), "<u2").reshape(len(keys), PLACES)
+        n = table["n"].to_numpy()
+        ends = np.concatenate([[0], np.cumsum(n)])
+        hashes = distinct_shingles(table["words"].combine_chunks())[1]
+        names: dict[bytes, int] = {}
+        top = [names.setdefault(c, len(names)) for c in table["component"].to_pylist()]
+        of, up = np.array(top), list(range(len(names)))
+
+        def find(i: int) -> int:
+            while up[i] != i:
+                up[i] = up[up[i]]
+                i = up[i]
+            return i
+
+        found = []
+        for i in np.flatnonzero(part == x):
+            at = np.flatnonzero((part == y) & (np.arange(len(part)) > i if x == y else True))
+            at = at[(np.minimum(n[i], n[at]) * 100 >= np.maximum(n[i], n[at]) * percent) & (of[at] != of[i])]
+            equal = (sketch[i] == sketch[at]).sum(axis=1)
+            at = at[equal >= least]
+            equal = equal[equal >= least]
+            at = [j for j in at[np.argsort(-equal, kind="stable")].tolist() if find(top[j]) != find(top[i])]
+            mine = hashes[ends[i] : ends[i + 1]]
+            for begin in range(0, len(at), SLICE):
+                some = [j for j in at[begin : begin + SLICE] if find(top[j]) != find(top[i])]
+                if not some:
+                    continue
+                theirs = np.concatenate([hashes[ends[j] : ends[j + 1]] for j in some])
+                hits = mine[np.minimum(np.searchsorted(mine, theirs), len(mine) - 1)] == theirs
+                both = np.add.reduceat(hits, np.concatenate([[0], np.cumsum(n[some])[:-1]]), dtype=np.int64)
+                for j in np.array(some)[100 * both >= percent * (n[i] + n[some] - both)].tolist():
+                    p, q = find(top[i]), find(top[j])
+                    if p != q:
+                        up[max(p, q)] = min(p, q)
+                        found.append((keys[i], keys[j]))
+        pa.default_memory_pool().release_unused()
+        return pa.table({"a": pa.array([max(p) for p in found], pa.binary()), "b": pa.array([min(p) for p in found], pa.binary())})
 
-    ordered = dealt.repartition("band", "x", "y").sortWithinPartitions("band", "x", "y")
-    return ordered.mapInArrow(run, "a binary, b binary").distinct()
+    groups = ["family", "x", "y"]
+    return dealt.repartition(tasks, *groups).groupBy(*groups).applyInArrow(compare, "a binary, b binary")
 
 
 def _pairs(found: set) -> pa.RecordBatch:
@@ -274,29 +309,33 @@ def verified(pairs: DataFrame, texts: DataFrame, percent: int, group: int = 64)
     Members meet their common b in groups of about ``group``, so b travels once a group and no hub
     gathers all its members in one task.
     """
-    counts = pairs.groupBy("b").agg(F.ceil(F.count("*") / group).cast("int").alias("groups"))
+    counts = pairs.groupBy("b").agg(F.ceil(F.count("*") / group).cast("int").alias("groups"), F.count("*").alias("m"))
+    counts = materialise(counts, "minhash-hubs")
+    tasks = int(min(MOST_TASKS, max(1, (counts.agg(F.sum("m")).first()[0] or 0) // ROWS_A_TASK)))
     asked = pairs.join(counts, "b").select("b", F.pmod(F.xxhash64("a", F.lit(3)), "groups").cast("int").alias("g"), "a")
     members = asked.select("b", "g", F.col("a").alias("key"), F.lit(1).alias("turn"))
     members = members.unionByName(asked.select("b", "g").distinct().select("b", "g", F.col("b").alias("key"), F.lit(0).alias("turn")))
     joined = members.join(texts, "key").select("b", "g", "turn", "key", "words")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hub, of = set(), None
-        for batch in batches:
+        hub, of = np.zeros(0, np.uint64), None
+        for batch in sliced(batches):
             found = set()
-            for b, g, turn, key, words in zip(*[c.to_pylist() for c in batch.columns]):
+            doc, hashes = distinct_shingles(batch["words"])
+            ends = np.searchsorted(doc, np.arange(len(batch) + 1))
+            for i, (b, g, turn, key) in enumerate(zip(*[batch[c].to_pylist() for c in ("b", "g", "turn", "key")])):
+                mine = hashes[ends[i] : ends[i + 1]]
                 if turn == 0:
-                    hub, of = shingle_set(words), (b, g)
+                    hub, of = mine.copy(), (b, g)
                     continue
                 if of != (b, g):
                     raise ValueError("a group lacks its hub")
-                mine = shingle_set(words)
-                both = len(hub & mine)
+                both = int((hub[np.minimum(np.searchsorted(hub, mine), len(hub) - 1)] == mine).sum())
                 if 100 * both >= percent * (len(hub) + len(mine) - both):
                     found.add((key, b))
             yield _pairs(found)
 
-    return joined.repartition("b", "g").sortWithinPartitions("b", "g", "turn").mapInArrow(run, "a binary, b binary")
+    return joined.repartition(tasks, "b", "g").sortWithinPartitions("b", "g", "turn").mapInArrow(run, "a binary, b binary")
 
 
 def near_duplicates(
@@ -341,21 +380,26 @@ def near_duplicates(
 
     links = tested = classes.selectExpr("key a", "key b").limit(0)
     groups = classes.selectExpr("key node", "key component").limit(0)
-    for turn in range(HUB_ROUNDS + 2):
+    for turn in range(HUB_ROUNDS + 1):
         members = in_components(shared, groups)
         if turn < HUB_ROUNDS:
             pairs = alike(with_hubs(members, turn), classes, percent)
+            pairs = pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+            pairs = materialise(pairs.join(tested, ["a", "b"], "left_anti") if turn else pairs, "minhash-candidates")
+            if pairs.isEmpty():
+                continue
+            tested = tested.unionByName(pairs) if turn else pairs
+            found = materialise(verified(pairs, texts, percent), "minhash-links")
         else:
-            pairs = rest_of_buckets(members, classes, percent, NEAREST if turn == HUB_ROUNDS else None)
-        pairs = pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-        pairs = materialise(pairs.join(tested, ["a", "b"], "left_anti") if turn else pairs, "minhash-candidates")
-        if pairs.isEmpty():
-            continue
-        tested = tested.unionByName(pairs) if turn else pairs
-        found = materialise(verified(pairs, texts, percent), "minhash-links")
-        if turn and found.isEmpty():
+            found = materialise(joined_inside(materialise(members, "minhash-rest"), classes, texts, percent), "minhash-links")
+        if found.isEmpty():
             continue
-        links = links.unionByName(found) if turn else found
+        # Links only between components found so far: as few as still join them.
+        ends = found
+        if turn:
+            name = lambda c: groups.select(F.col("node").alias(c), F.col("component").alias(f"c_{c}"))
+            ends = found.join(name("a"), "a", "left").join(name("b"), "b", "left").select(F.coalesce("c_a", "a").alias("a"), F.coalesce("c_b", "b").alias("b"))
+        links = groups.selectExpr("node a", "component b").where("a <> b").unionByName(ends) if turn else ends
         groups = materialise(components(links), "minhash-groups")
     labels = known.join(groups.select(F.col("node").alias("key"), "component"), "key", "left").withColumn("component", F.coalesce("component", "key"))
     labels = labels.select("uid", "id", "row", "n", "component")
