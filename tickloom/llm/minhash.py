@@ -5,7 +5,7 @@ place keeps its smallest value; rounds end when all places are full. From round
 to place i - t, so 2 t rounds fill every place of any set that isn't empty. Equal places estimate
 the Jaccard similarity with the concentration of independent draws.
 
-Candidates share a band of the sketch. Some rounds give each bucket a hub and verify its members
+Candidates share a band of the sketch. A first round gives each bucket a hub and verifies its members
 against it, which joins groups of near copies without any pair inside them. Buckets whose members are
 then still in several components are joined to families; a family is dealt into blocks of bounded
 size, and a block compares and verifies its members inside one task: a pair that sizes, sketches or links
@@ -30,7 +30,7 @@ from tickloom.llm.common import col, components, materialise, numbered, packed,
 WIDTH = 5
 BANDS, ROWS = 24, 5
 PLACES = BANDS * ROWS
-HUB_ROUNDS = 3
+HUB_ROUNDS = 1
 BLOCK, BLOCK_SHINGLES = 512, 500_000
 ROWS_A_TASK, MOST_TASKS = 1024, 20_000
 SLICE = 256
@@ -257,34 +257,25 @@ def joined_inside(members: DataFrame, classes: DataFrame, texts: DataFrame, perc
         hashes = distinct_shingles(table["words"].combine_chunks())[1]
         names: dict[bytes, int] = {}
         top = [names.setdefault(c, len(names)) for c in table["component"].to_pylist()]
-        of, up = np.array(top), list(range(len(names)))
-
-        def find(i: int) -> int:
-            while up[i] != i:
-                up[i] = up[up[i]]
-                i = up[i]
-            return i
-
+        of = np.array(top)
         found = []
         for i in np.flatnonzero(part == x):
             at = np.flatnonzero((part == y) & (np.arange(len(part)) > i if x == y else True))
             at = at[(np.minimum(n[i], n[at]) * 100 >= np.maximum(n[i], n[at]) * percent) & (of[at] != of[i])]
             equal = (sketch[i] == sketch[at]).sum(axis=1)
-            at = at[equal >= least]
-            equal = equal[equal >= least]
-            at = [j for j in at[np.argsort(-equal, kind="stable")].tolist() if find(top[j]) != find(top[i])]
+            at = at[equal >= least][np.argsort(-equal[equal >= least], kind="stable")]
             mine = hashes[ends[i] : ends[i + 1]]
             for begin in range(0, len(at), SLICE):
-                some = [j for j in at[begin : begin + SLICE] if find(top[j]) != find(top[i])]
-                if not some:
+                some = at[begin : begin + SLICE]
+                some = some[of[some] != of[i]]
+                if not len(some):
                     continue
                 theirs = np.concatenate([hashes[ends[j] : ends[j + 1]] for j in some])
                 hits = mine[np.minimum(np.searchsorted(mine, theirs), len(mine) - 1)] == theirs
                 both = np.add.reduceat(hits, np.concatenate([[0], np.cumsum(n[some])[:-1]]), dtype=np.int64)
-                for j in np.array(some)[100 * both >= percent * (n[i] + n[some] - both)].tolist():
-                    p, q = find(top[i]), find(top[j])
-                    if p != q:
-                        up[max(p, q)] = min(p, q)
+                for j in some[100 * both >= percent * (n[i] + n[some] - both)].tolist():
+                    if of[j] != of[i]:
+                        of[of == of[j]] = of[i]
                         found.append((keys[i], keys[j]))
         pa.default_memory_pool().release_unused()
         return pa.table({"a": pa.array([max(p) for p in found], pa.binary()), "b": pa.array([min(p) for p in found], pa.binary())})
@@ -381,7 +372,7 @@ def near_duplicates(
     links = tested = classes.selectExpr("key a", "key b").limit(0)
     groups = classes.selectExpr("key node", "key component").limit(0)
     for turn in range(HUB_ROUNDS + 1):
-        members = in_components(shared, groups)
+        members = materialise(in_components(shared, groups), "minhash-members")
         if turn < HUB_ROUNDS:
             pairs = alike(with_hubs(members, turn), classes, percent)
             pairs = pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
@@ -391,7 +382,7 @@ def near_duplicates(
             tested = tested.unionByName(pairs) if turn else pairs
             found = materialise(verified(pairs, texts, percent), "minhash-links")
         else:
-            found = materialise(joined_inside(materialise(members, "minhash-rest"), classes, texts, percent), "minhash-links")
+            found = materialise(joined_inside(members, classes, texts, percent), "minhash-links")
         if found.isEmpty():
             continue
         # Links only between components found so far: as few as still join them.
