@@ -128,6 +128,14 @@ def test_an_uncritical_run_logs_all_and_does_not_raise(spark, tmp_path, rows):
     assert read_table(spark, str(tmp_path / "log"), DQ_LOG).count() == 3
 
 
+def test_a_further_attempt_replaces_the_log_of_the_one_before(spark, tmp_path, rows):
+    path, later = str(tmp_path / "log"), LogContext(CTX.table_path, CTX.layer, CTX.as_of + timedelta(days=40), CTX.batch_id)
+    for ctx, expected in ((CTX, 1), (later, 6), (later, 6)):
+        enforce(evaluate(rows, [RowCountCheck(expected)], ctx), path, critical=False, tag="q-0")
+    enforce(evaluate(rows, [RowCountCheck(1)], CTX), path, critical=False, tag="q-1")
+    assert sorted(r["status"] for r in read_table(spark, path, DQ_LOG).collect()) == ["FAIL", "PASS"]
+
+
 def test_unknown_expectation_does_not_pass(rows):
     from pyspark.sql import functions as F
 

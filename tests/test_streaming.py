@@ -21,6 +21,7 @@ from tickloom.plans.setup import refresh_partitions, set_up
 from tickloom.schemas import DQ_LOG, FUNDAMENTALS_FEED, PRICE_FEED, TABLES
 from tickloom.sinks.catalog import read_target
 from tickloom.sinks.files import batch_tag, drain_batches, drain_to_table, write_batch
+from tickloom.sources import feeds
 from tickloom.sources.feeds import stream_feed
 from tickloom.sources.tables import read_table, select_all, stream_catalog_table, stream_table
 from tickloom.streaming import bronze, gold, silver
@@ -220,6 +221,79 @@ def test_a_retried_gate_leaves_the_log_unchanged(spark, lake):
         assert stored(spark, lake, "logging.dq_log").count() == 1
 
 
+def test_a_repaired_gate_logs_the_attempt_that_was_stored(spark, lake):
+    deliver(prices(spark, [("A", 1.0, NOON), ("B", 1.0, NOON)]), lake, "bronze.prices")
+    with pytest.raises(StreamingQueryException):
+        silver.refine_prices(spark, lake, symbols(spark, "A"), as_of=NOON)
+    # The list of symbols is repaired and the batch tried again a day later.
+    silver.refine_prices(spark, lake, symbols(spark, "A", "B"), as_of=NOON + timedelta(days=1))
+    log = stored(spark, lake, "logging.dq_log").collect()
+    assert {r["status"] for r in log} == {"PASS"} and {r["day"] for r in log} == {11}
+    assert stored(spark, lake, "silver.prices").count() == 2
+
+
+HEADER = ",".join(PRICE_FEED.names)
+LINE = "{},1.5,1,2,1,1,10,5,2024-01-10T12:00:00.000000,2024-01-10,2024,1,10"
+
+
+def feed_file(lake, name, *lines):
+    folder = f"{lake.landing(lake.price_feed)}/2024/1"
+    os.makedirs(folder, exist_ok=True)
+    with open(f"{folder}/{name}.csv", "w") as out:
+        out.write("".join(f"{line}\n" for line in lines))
+
+
+def set_aside(spark, lake):
+    rows = spark.read.parquet(bronze.misfits_path(lake.path("bronze.prices")))
+    return sorted((os.path.basename(r["source_file"]), r["reason"], r["line"]) for r in rows.collect())
+
+
+def test_lines_that_do_not_fit_are_set_aside(spark, lake):
+    swapped = HEADER.replace("current_price,open", "open,current_price")
+    few, many, word = LINE.format("F")[:-3], LINE.format("M") + ",7", LINE.format("W").replace("1.5", "n/a")
+    feed_file(lake, "good", HEADER, LINE.format("A"), "", few, many, word)
+    feed_file(lake, "styled", '"' + HEADER.upper().replace(",", '", "') + '"', LINE.format("B"), LINE.format("").replace("1.5", ""))
+    feed_file(lake, "swapped", swapped, LINE.format("C"))
+    feed_file(lake, "headless", LINE.format("D"))
+    feed_file(lake, "only_header", HEADER)
+    feed_file(lake, "empty")
+    for _ in range(2):
+        bronze.ingest_prices(spark, lake)
+    kept = {(r["symbol"], r["current_price"], r["extract_time"]) for r in stored(spark, lake, "bronze.prices").collect()}
+    assert kept == {("A", 1.5, NOON), ("B", 1.5, NOON), (None, None, NOON)}
+    assert set_aside(spark, lake) == sorted(
+        [
+            *[("good.csv", "row", line) for line in (few, many, word)],
+            ("swapped.csv", "header", swapped),
+            ("swapped.csv", "header", LINE.format("C")),
+            ("headless.csv", "header", LINE.format("D")),
+        ]
+    )
+
+
+def test_without_strict_columns_go_by_position(spark, lake):
+    feed_file(lake, "other", HEADER.replace("symbol", "ticker"), LINE.format("A").replace("1.5", "n/a"))
+    bronze.ingest_prices(spark, lake, strict=False)
+    (row,) = stored(spark, lake, "bronze.prices").collect()
+    assert (row["symbol"], row["current_price"], row["open"]) == ("A", None, 1.0)
+
+
+@pytest.mark.parametrize("misfit", [False, True])
+def test_a_crash_before_misfits_are_set_aside_is_mended(spark, lake, misfit):
+    lines = [("f", HEADER), ("f", LINE.format("A")), *([("f", "x")] if misfit else [])]
+    batch = spark.createDataFrame(lines, "source_file string, line string")
+    spec, path = TABLES["bronze.prices"], lake.path("bronze.prices")
+    rows, all_fit = feeds.fitted(batch, spec.schema)
+    assert all_fit != misfit
+    rows = rows.filter("reason IS NULL").select("row.*").select(*spec.schema.names)
+    write_batch(rows, path, spec.partition_by, "q-0")  # the driver dies here
+    for _ in range(2):
+        bronze.store_fitting(batch, spec, path, "q-0")
+        assert stored(spark, lake, "bronze.prices").count() == 1
+        aside = read_table(spark, bronze.misfits_path(path), StructType.fromDDL(feeds.MISFITS), missing_ok=True)
+        assert [r["line"] for r in aside.collect()] == ["x"] * misfit
+
+
 def test_a_batch_tag_needs_a_query(spark):
     with pytest.raises(RuntimeError, match="streaming query"):
         batch_tag(spark.range(1), 0)

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from tickloom.functions.partitions import touched_by
 from tickloom.functions.times import extract_hour
 from tickloom.schemas import BY_DAY, DQ_LOG, PRICE_KEY
-from tickloom.sinks.files import write_batch
+from tickloom.sinks.files import replace_batch, write_batch
 from tickloom.sources.inventory import list_files
 
 
@@ -288,8 +288,9 @@ def _failure_message(failures: Sequence[Row]) -> str:
 def enforce(log: DataFrame, log_path: str, critical: bool = True, tag: str | None = None) -> bool:
     """Append log rows to the log table, then raise if a check failed.
 
-    The rows of one micro-batch carry its ``tag``, so a retry of a failed batch adds none; without
-    a tag every call adds its rows.
+    The rows of one micro-batch carry its ``tag``. A further attempt at the batch puts its rows in the
+    place of those of the attempt before, so the log tells how the batch went in the end; without a
+    tag every call adds its rows.
 
     A critical run stops at the first failed check: that one is logged and raised, later ones
     are not logged. Otherwise all are logged. Returns whether everything passed. The log is as
@@ -300,7 +301,11 @@ def enforce(log: DataFrame, log_path: str, critical: bool = True, tag: str | Non
         failures = log.filter("status = 'FAIL'").collect()
         stop = min((r["_check"] for r in failures), default=None)
         kept = log if stop is None or not critical else log.filter(F.col("_check") <= stop)
-        write_batch(kept.select(*DQ_LOG.names).coalesce(1), log_path, BY_DAY, tag or f"run-{uuid.uuid4().hex}")
+        rows = kept.select(*DQ_LOG.names).coalesce(1)
+        if tag:
+            replace_batch(rows, log_path, BY_DAY, tag)
+        else:
+            write_batch(rows, log_path, BY_DAY, f"run-{uuid.uuid4().hex}")
     finally:
         log.unpersist()
     if failures and critical:

@@ -379,6 +379,16 @@ def dq_log_append(spark: SparkSession, sf: str) -> DataFrame:
     return read_table(spark, path, TABLES["logging.dq_log"].schema)
 
 
+def dq_log_retry(spark: SparkSession, sf: str) -> DataFrame:
+    """The log of a batch that fails its checks, is repaired and then passes: it tells of the last attempt."""
+    path = fresh_lake(spark, "log").path("logging.dq_log")
+    labels = view(spark, sf, views.DOC_LABELS)
+    checks = [quality.NullCheck(["doc_id", "quality", "toxic"])]
+    for rows in (labels, labels.dropna(subset=["quality", "toxic"])):
+        quality.enforce(quality.evaluate(rows, checks, _ctx("doc_labels")), path, critical=False, tag="run-1")
+    return read_table(spark, path, TABLES["logging.dq_log"].schema)
+
+
 # Upserts
 
 
@@ -459,6 +469,7 @@ QUERIES: dict[str, Query] = {
     "dq_gate_prices": dq_gate_prices,
     "dq_file_arrival": dq_file_arrival,
     "dq_log_append": dq_log_append,
+    "dq_log_retry": dq_log_retry,
     "dq_message_format": dq_message_format,
     "expected_rows": expected_rows,
     "upsert_daily_bars": upsert_daily_bars,

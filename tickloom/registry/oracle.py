@@ -435,6 +435,10 @@ ORACLE: dict[str, str] = {
             *[_negatives("customer", c, "customer") for c in ("c_acctbal", "c_custkey")],
         ]
     ),
+    "dq_log_retry": " UNION ALL ".join(
+        _nulls("doc_labels", c, f"(SELECT * FROM {DOC_LABELS} WHERE quality IS NOT NULL AND toxic IS NOT NULL)")
+        for c in ("doc_id", "quality", "toxic")
+    ),
     "dq_message_format": f"SELECT check_name, expected_value, observed_value, status, error_message FROM ({_MESSAGES})",
     "expected_rows": f"SELECT {_expected(_HOURLY)} AS expected_rows",
     "upsert_daily_bars": f"""WITH old AS (
@@ -454,6 +458,9 @@ ORACLE: dict[str, str] = {
           UNION ALL BY NAME SELECT * FROM changes)""",
     "stream_prices_ingest": f"SELECT {_columns(PRICE_FEED)} FROM {TICKS}",
     "stream_fundamentals_ingest": f"SELECT {_columns(FUNDAMENTALS_FEED)} FROM {FUNDAMENTALS}",
+    "stream_misfits": f"""SELECT CASE WHEN extract_time >= TIMESTAMP '2024-01-16 12:00:00' THEN 'header'
+    WHEN volume % 50 = 0 THEN 'row' ELSE 'kept' END AS fate, symbol, day, count(*) AS n
+  FROM {TICKS} GROUP BY ALL""",
     "stream_silver_prices": CLEAN_PRICES,
     "stream_fundamentals_dedup": CLEAN_FUNDAMENTALS,
     "stream_daily_bars": DAILY_ROUNDED,

@@ -6,6 +6,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tickloom.config import Lakehouse
 from tickloom.registry import views
@@ -16,6 +17,7 @@ from tickloom.operators.cleaning import cast_ints
 from tickloom.operators.upsert import upsert
 from tickloom.sinks.catalog import read_target
 from tickloom.sinks.files import append_table, land_history, write_batch
+from tickloom.sources.feeds import MISFITS
 from tickloom.sources.inventory import list_files
 from tickloom.sources.tables import read_table
 from tickloom.streaming import bronze, gold, silver
@@ -70,6 +72,24 @@ def stream_fundamentals_ingest(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(_stored(spark, lake, "bronze.fundamentals"))
 
 
+def stream_misfits(spark: SparkSession, sf: str) -> DataFrame:
+    """Ticks of which some have no number as volume, then files with two columns swapped: what became of each."""
+    lake = fresh_lake(spark, "misfits")
+    ticks = view(spark, sf, views.TICKS).select(*PRICE_FEED.names)
+    text = F.when(F.col("volume") % 50 == 0, "n/a").otherwise(F.col("volume").cast("string"))
+    swapped = ["symbol", "open", "current_price", *PRICE_FEED.names[3:]]
+    for rows in (ticks.filter(_CUT).withColumn("volume", text), ticks.filter(f"NOT {_CUT}").select(*swapped)):
+        land_history(rows, lake.landing(lake.price_feed))
+        bronze.ingest_prices(spark, lake)
+    kept = _stored(spark, lake, "bronze.prices").select(F.lit("kept").alias("fate"), "symbol", "day")
+    aside = read_table(spark, bronze.misfits_path(lake.path("bronze.prices")), StructType.fromDDL(MISFITS))
+    values = F.split("line", ",")
+    aside = aside.filter(values[0] != "symbol")  # the headers of the swapped files
+    day = F.element_at(values, -1).try_cast("int")
+    aside = aside.select(F.col("reason").alias("fate"), values[0].alias("symbol"), day.alias("day"))
+    return kept.unionByName(aside).groupBy("fate", "symbol", "day").agg(F.count("*").alias("n"))
+
+
 def stream_silver_prices(spark: SparkSession, sf: str) -> DataFrame:
     """Single ticks are no complete snapshots, so the gate only logs."""
     lake = fresh_lake(spark, "silver")
@@ -132,6 +152,7 @@ def stream_indicators(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "stream_prices_ingest": stream_prices_ingest,
     "stream_fundamentals_ingest": stream_fundamentals_ingest,
+    "stream_misfits": stream_misfits,
     "stream_silver_prices": stream_silver_prices,
     "stream_fundamentals_dedup": stream_fundamentals_dedup,
     "stream_daily_bars": _daily_bars(windowed=False),

@@ -57,9 +57,30 @@ def write_batch(df: DataFrame, path: str, partition_by: Sequence[str], batch_tag
     tag is complete: a replay then leaves its files as they are, so that streams over the table
     don't take rewritten files for new ones. Without the marker a replay replaces what is there.
     """
-    marker = f"{path}{COMMITS}/{batch_tag}"
-    if exists(df.sparkSession, marker):
+    if committed(df.sparkSession, path, batch_tag):
         return
+    _write_tagged(df, path, partition_by, batch_tag)
+    commit(df.sparkSession, path, batch_tag)
+
+
+def replace_batch(df: DataFrame, path: str, partition_by: Sequence[str], batch_tag: str) -> None:
+    """Write a micro-batch in place of all that earlier attempts of its tag left, in whatever partitions.
+
+    New rows come first and old ones go then, so no crash loses both. For small tables such as logs:
+    the driver gets the partitions that ``df`` touches.
+    """
+    rows = df.select(*partition_by).distinct().collect()
+    fs, to_path = file_system(df.sparkSession, path)
+    folder = lambda r: "/".join(f"{c}={r[c]}" for c in partition_by)
+    written = {to_path(f"{path}/{folder(r)}/{BATCH_TAG}={batch_tag}").toUri().getPath() for r in rows}
+    _write_tagged(df, path, partition_by, batch_tag)
+    anywhere = "/".join([path, *[f"{c}=*" for c in partition_by], f"{BATCH_TAG}={batch_tag}"])
+    for status in fs.globStatus(to_path(anywhere)) or []:
+        if status.getPath().toUri().getPath() not in written:
+            fs.delete(status.getPath(), True)
+
+
+def _write_tagged(df: DataFrame, path: str, partition_by: Sequence[str], batch_tag: str) -> None:
     (
         df.withColumn(BATCH_TAG, F.lit(batch_tag))
         .hint("rebalance", *partition_by)
@@ -68,7 +89,15 @@ def write_batch(df: DataFrame, path: str, partition_by: Sequence[str], batch_tag
         .partitionBy(*partition_by, BATCH_TAG)
         .parquet(path)
     )
-    mark(df.sparkSession, marker)
+
+
+def committed(spark: SparkSession, path: str, batch_tag: str) -> bool:
+    """Whether a micro-batch of a table is complete."""
+    return exists(spark, f"{path}{COMMITS}/{batch_tag}")
+
+
+def commit(spark: SparkSession, path: str, batch_tag: str) -> None:
+    mark(spark, f"{path}{COMMITS}/{batch_tag}")
 
 
 def file_system(spark: SparkSession, path: str):

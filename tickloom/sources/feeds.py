@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamReader
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
+
+# Columns of lines that are set aside: the file, the text of the line, and why.
+MISFITS = "source_file string, line string, reason string"
 
 MAX_AGE = "36500d"
 MAX_FILES = 1000
@@ -32,6 +36,52 @@ def stream_feed(
     return reader.csv(folder)
 
 
+def stream_lines(
+    spark: SparkSession,
+    folder: str,
+    max_files: int | None = None,
+    max_bytes: str | None = None,
+    max_age: str = MAX_AGE,
+    archive: str | None = None,
+) -> DataFrame:
+    """Lines of new files below ``folder`` as a stream, headers included, each with the file it is of."""
+    reader = bounded(spark.readStream.option("recursiveFileLookup", True), max_files, max_bytes, max_age)
+    if archive:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
+    return reader.text(folder).select(F.col("_metadata.file_path").alias("source_file"), F.col("value").alias("line"))
+
+
+def _is_header(schema: StructType) -> Column:
+    plain = F.regexp_replace(F.lower("line"), r"[\s\"\x{FEFF}]", "")
+    return plain == ",".join(schema.names).lower()
+
+
+def fitted(lines: DataFrame, schema: StructType) -> tuple[DataFrame, bool]:
+    """Lines of CSV files as rows (source_file, line, row, reason), and whether all of them fit.
+
+    * A file must have a line with the names of the schema in their order (case, blanks and quotes
+      don't count). All lines of a file without one have the reason ``header``: its columns may be
+      swapped, and by position they would be taken for each other.
+    * A line with a value that its type can't hold, or with fewer or more values, has the reason ``row``.
+    * Rows that fit have no reason. Header lines and blank lines are no rows.
+
+    A first pass counts both per file, combined before the shuffle. The driver gets the names of files
+    with misfits, at most the files of a micro-batch, which the stream's source has listed there anyway.
+    """
+    unparsed = "_unparsed"
+    checked = StructType([*schema.fields, StructField(unparsed, StringType())])
+    parsed = lines.filter(F.trim("line") != "").withColumn(
+        "row", F.from_csv("line", checked.toDDL(), {"columnNameOfCorruptRecord": unparsed})
+    )
+    header, bad = _is_header(schema), F.col(f"row.{unparsed}").isNotNull()
+    files = parsed.groupBy("source_file").agg(F.bool_or(header).alias("headed"), F.bool_or(bad & ~header).alias("bad"))
+    misfits = files.filter("bad OR NOT headed").collect()
+    without = [f["source_file"] for f in misfits if not f["headed"]]
+    wrong_file = F.col("source_file").isin(without) if without else F.lit(False)
+    rows = parsed.filter(~header).withColumn("reason", F.when(wrong_file, "header").when(bad, "row"))
+    return rows, not misfits
+
+
 def bounded(
     reader: DataStreamReader, max_files: int | None = None, max_bytes: str | None = None, max_age: str = MAX_AGE
 ) -> DataStreamReader:

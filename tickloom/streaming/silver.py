@@ -15,7 +15,7 @@ from tickloom.operators.cleaning import add_categories, cast_ints, clean_prices,
 from tickloom.operators.quality import LogContext, enforce, evaluate, price_gate
 from tickloom.operators.upsert import upsert
 from tickloom.schemas import FUNDAMENTALS_AMOUNTS, FUNDAMENTALS_KEY, TABLES
-from tickloom.sinks.files import batch_tag, drain_batches, drain_to_table, write_batch
+from tickloom.sinks.files import batch_tag, committed, drain_batches, drain_to_table, write_batch
 from tickloom.sources.tables import stream_table
 
 PRICE_DELAY = "2 days"
@@ -48,6 +48,8 @@ def refine_prices(
 
     def store(batch: DataFrame, batch_id: int) -> None:
         tag = batch_tag(batch, batch_id)
+        if any(committed(batch.sparkSession, p, tag) for p in (path, f"{path}_quarantine")):
+            return  # a replay; its log tells of the attempt that was stored
         ctx = LogContext(path, "Silver", as_of or datetime.now(timezone.utc), tag)
         if batch.isEmpty():
             return
