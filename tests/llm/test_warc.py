@@ -5,6 +5,7 @@ import random
 
 import pyarrow.fs as pfs
 import pytest
+from pyspark.sql import functions as F
 
 from tickloom.llm.warc import base32_sha1, read_warc, resolved, write_warc
 
@@ -71,5 +72,16 @@ def test_files_are_plain_gzip_members_and_junk_is_skipped(spark, tmp_path):
     assert [r["page_id"] for r in read_warc(spark, listed, 7).collect()] == ["1"]
 
 
+def test_ranges_are_read_by_as_many_tasks(spark):
+    files = write_warc(pages(spark, [(i, "u", random.Random(i).randbytes(2000).hex()) for i in range(40)]).coalesce(1))
+    ranges = sum(-(-r["bytes"] // 1000) for r in files.collect())
+    back = read_warc(spark, files, 1000)
+    assert back.rdd.getNumPartitions() == ranges > 40 and back.count() == 40
+    used = back.select(F.spark_partition_id().alias("task")).distinct().count()
+    assert used > 15
+    few = read_warc(spark, files, 1000, max_tasks=3)
+    assert few.rdd.getNumPartitions() == 3 and few.count() == 40
+
+
 def test_empty_table(spark):
     assert resolved(trip(spark, pages(spark, []))).count() == 0

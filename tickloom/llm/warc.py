@@ -212,17 +212,21 @@ def records_in(source: pa.NativeFile, start: int, end: int) -> Iterator[dict]:
         window.drop(min(at, window.start + len(window.data)))
 
 
-def read_warc(spark: SparkSession, files: DataFrame, split_bytes: int = 32 << 20) -> DataFrame:
+def read_warc(spark: SparkSession, files: DataFrame, split_bytes: int = 32 << 20, max_tasks: int = 20_000) -> DataFrame:
     """Read files (path, bytes) in byte ranges of ``split_bytes``: a row per record.
 
     Returns page_id (as text), url, record_type, payload (null for revisits), payload_digest (bare, of
     the payload that was read, for revisits of their header) and refers_to. Files and ranges without
     records give no rows. Null paths are skipped.
+
+    There are as many tasks as ranges, up to ``max_tasks``; a task then reads several ranges one after
+    another. The number is given, since by the few bytes of the list itself Spark would take one task.
     """
     ranges = files.where("path is not null and bytes > 0").select("path", "bytes", F.explode(F.expr(f"sequence(0L, bytes - 1, {split_bytes}L)")).alias("start"))
     ranges = ranges.select("path", "start", F.least(F.col("start") + split_bytes, "bytes").alias("end"))
+    tasks = max(1, min(files.agg(F.sum(F.ceil(F.col("bytes") / split_bytes))).first()[0] or 0, max_tasks))
     # By a hash, not round-robin, so that a task that runs again sends the same ranges.
-    ranges = ranges.repartition("path", "start")
+    ranges = ranges.repartition(tasks, "path", "start")
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [f.split()[0] for f in READ.split(", ")]
