@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tickloom.config import shared_folder
@@ -48,6 +48,23 @@ def numbered(docs: DataFrame, purpose: str) -> DataFrame:
     return materialise(docs.select(F.monotonically_increasing_id().alias("uid"), packed(docs).alias("row")), purpose)
 
 
+def sums_before(sums: DataFrame, group: list[str], key: str, value: str, out: str, span: int = 1024) -> DataFrame:
+    """``out``: the sum of ``value`` over the rows of smaller ``key``, a whole number from 0, within ``group``.
+
+    Sums of spans of keys are added up first, then the keys inside each span, so that no window holds
+    more than one row a span or one span. Keys are distinct within a group; null groups are groups.
+    """
+    wide = sums.withColumn("span", F.floor(F.col(key) / F.lit(span)))
+    tops = wide.groupBy(*group, "span").agg(F.sum(value).alias("top"))
+    before = Window.partitionBy(*group).orderBy("span").rowsBetween(Window.unboundedPreceding, -1)
+    keys = [*group, "span"]
+    tops = tops.select(*[F.col(c).alias(f"span_of_{c}") for c in keys], F.coalesce(F.sum("top").over(before), F.lit(0)).alias("spans_before"))
+    wide = wide.join(tops, [F.col(c).eqNullSafe(F.col(f"span_of_{c}")) for c in keys])
+    inside = Window.partitionBy(*keys).orderBy(key).rowsBetween(Window.unboundedPreceding, -1)
+    found = F.col("spans_before") + F.coalesce(F.sum(value).over(inside), F.lit(0))
+    return wide.withColumn(out, found).select(*sums.columns, out)
+
+
 def components(edges: DataFrame) -> DataFrame:
     """Connected components of the graph with edges (a, b): rows (node, component), its smallest node.
 

@@ -14,18 +14,38 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import col, materialise, packed, with_results
+from tickloom.llm.common import col, materialise, packed, sums_before, with_results
 
 LAW = "rows"
-MAX_BROADCAST = 1_000_000
+#: Equal rows are dealt one by one if together they would fill more than this share of a bucket.
+SHARE = 0.125
+SAME = ("id", "crc", "size")
+
+
+def numbers_of_equal(rows: DataFrame, many: DataFrame) -> DataFrame:
+    """Rows whose (id, crc, size) is in ``many``, each with its number ``nth`` among its equals.
+
+    Rows are written once and numbered within the task that wrote them; sums over the tasks give
+    where each task starts. Which of two equal rows comes first hangs on the input split, but the
+    numbers that a group of equals gets don't.
+    """
+    same = [rows[c].eqNullSafe(many[c]) for c in SAME]
+    rows = materialise(rows.join(many, same, "left_semi").withColumn("uid", F.monotonically_increasing_id()), "equal-rows")
+    rows = rows.withColumn("part", F.shiftright("uid", 33))
+    ahead = rows.groupBy(*SAME, "part").agg(F.count("*").alias("n"))
+    w = Window.partitionBy(*SAME).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    ahead = ahead.withColumn("ahead", F.coalesce(F.sum("n").over(w), F.lit(0))).drop("n")
+    local = rows.withColumn("at", F.row_number().over(Window.partitionBy(*SAME, "part").orderBy("uid")))
+    both = [local[c].eqNullSafe(ahead[c]) for c in (*SAME, "part")]
+    return local.join(ahead, both).select(*[local[c] for c in (*SAME, "row")], (F.col("ahead") + F.col("at")).alias("nth"))
 
 
 def scatter(docs: DataFrame, names: list[str], id_col: str, text_col: str, seed: int, bucket_bytes: int) -> tuple[DataFrame, int]:
-    """Pass one: rows (bucket, mark, id, size, crc, row), and the number of buckets.
+    """Pass one: rows (id, size, crc, row, mark, bucket), and the number of buckets.
 
-    The hash sees the number of the input partition too, so an id that very many rows repeat is
-    spread over as many buckets as it has partitions, and a task that runs again sends every row
-    where it went before.
+    The hash sees seed, id and checksum, so another split of the input, or a task that runs again,
+    sends every row where it went before. Equal rows that would fill a bucket by themselves are
+    found by counts, combined before the shuffle, and hashed with a number of their own.
     """
     text = F.encode(F.coalesce(col(text_col).cast("string"), F.lit("")), "UTF-8")
     rows = docs.select(
@@ -34,13 +54,20 @@ def scatter(docs: DataFrame, names: list[str], id_col: str, text_col: str, seed:
         F.crc32(text).alias("crc"),
         packed(docs, names).alias("row"),
     )
-    total = docs.agg(F.sum(F.coalesce(F.octet_length(col(text_col).cast("string")), F.lit(0)).cast("long") + 8)).first()[0] or 0
+    groups = materialise(rows.groupBy(*SAME).agg(F.count("*").alias("n")), "shard-groups")
+    total = groups.agg(F.sum(F.col("n") * F.col("size"))).first()[0] or 0
     buckets = max(1, math.ceil(total / bucket_bytes))
-    mark = F.xxhash64(F.lit(seed), F.spark_partition_id(), F.col("id"), F.col("crc"))
-    return rows.withColumn("mark", mark).withColumn("bucket", F.pmod("mark", F.lit(buckets))), buckets
+    marked = lambda df, *more: df.withColumn("mark", F.xxhash64(F.lit(seed), F.col("id"), F.col("crc"), *more))
+    many = materialise(groups.where((F.col("n") > 1) & (F.col("n") * F.col("size") > SHARE * bucket_bytes)).select(*SAME), "shard-many")
+    if buckets == 1 or many.isEmpty():
+        dealt = marked(rows)
+    else:
+        few = rows.join(many, [rows[c].eqNullSafe(many[c]) for c in SAME], "left_anti")
+        dealt = marked(few).unionByName(marked(numbers_of_equal(rows, many), F.col("nth")).drop("nth"))
+    return dealt.withColumn("bucket", F.pmod("mark", F.lit(buckets))), buckets
 
 
-def shuffle_buckets(rows: DataFrame, seed: int) -> DataFrame:
+def shuffle_buckets(rows: DataFrame, buckets: int, seed: int) -> DataFrame:
     """Pass two: each bucket in an order of its own, written to the shared folder with its positions."""
     schema = rows.select("bucket", F.lit(0).cast("long").alias("place"), "id", "size", "crc", "row").schema
 
@@ -52,7 +79,7 @@ def shuffle_buckets(rows: DataFrame, seed: int) -> DataFrame:
         table = table.append_column("place", pa.array(np.arange(len(table)), pa.int64()))
         return table.select(["bucket", "place", "id", "size", "crc", "row"])
 
-    return materialise(rows.groupBy("bucket").applyInArrow(one, schema), "shuffled-buckets")
+    return materialise(rows.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(one, schema), "shuffled-buckets")
 
 
 def shuffle_into_shards(
@@ -71,26 +98,24 @@ def shuffle_into_shards(
     another law).
 
     * A null text counts as empty: size 8, checksum 0. A null id is an ordinary value.
-    * Rows that repeat id and text are rows like all others, each with a slot of its own.
+    * The seed fixes shard and slot of every id and text, however the input is split. Rows that
+      repeat id and text have a slot each; which of them gets which hangs on the input split.
+    * A text is one value, however long; a bucket holds it whole.
     * With fewer rows than shards some shards stay empty; an empty table gives an empty result.
       A result takes the place of an input column of its name.
 
     A bucket holds about ``bucket_bytes`` of text, so a task needs a few times that; a longer text is
-    a bucket's size by itself. The driver sees the total of bytes only.
+    a bucket's size by itself. The driver sees totals only. Starts of buckets are a written table,
+    which Spark broadcasts if its size allows and shuffles otherwise.
     """
     names = docs.columns if columns is None else columns
     rows, buckets = scatter(docs, names, id_col, text_col, seed, bucket_bytes)
-    written = shuffle_buckets(rows, seed)
+    written = shuffle_buckets(rows, buckets, seed)
     counts = written.groupBy("bucket").agg(F.count("*").alias("n"))
-    before = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.select(
-        F.col("bucket").alias("of_bucket"),
-        F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"),
-        F.sum("n").over(Window.partitionBy()).alias("total"),
-    )
-    if buckets <= MAX_BROADCAST:  # three numbers a bucket; more of them meet by a shuffle
-        starts = F.broadcast(starts)
-    placed = written.join(starts, F.col("bucket") == F.col("of_bucket")).withColumn("at", F.col("first") + F.col("place"))
+    total = F.lit(counts.agg(F.sum("n")).first()[0] or 0).cast("long")
+    starts = materialise(sums_before(counts, [], "bucket", "n", "first").select(F.col("bucket").alias("of_bucket"), "first"), "shard-starts")
+    placed = written.join(starts, F.col("bucket") == F.col("of_bucket"))
+    placed = placed.withColumn("total", total).withColumn("at", F.col("first") + F.col("place"))
     placed = placed.withColumn("shard", F.expr(f"(at * {shards}) div total").cast("int"))
     # Shard s starts at the first position whose shard is s: s * total / shards, rounded up.
     slot = F.col("at") - F.expr(f"(shard * total + {shards - 1}) div {shards}")
