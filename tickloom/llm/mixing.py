@@ -5,8 +5,8 @@ copy of a document finishes at the virtual time (tokens of its queue up to and w
 the source. The copies of all sources in the order of virtual finish time, cut off at the total
 budget, are the mix: at virtual time 1 every source has sent exactly its target.
 
-Running sums are made in two levels: sums of ranges, combined before they are shuffled, a running
-sum over the ranges, then a window inside each range. Ranges are cut by rank of a hash or by
+Running sums are made in levels: sums of ranges, combined before they are shuffled, a running sum
+over the ranges by spans of them, then a window inside each range. Ranges are cut by rank of a hash or by
 virtual time, and their number grows with the rows, so no window holds a whole source.
 """
 
@@ -17,7 +17,7 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import WORD, col, materialise, numbered, packed, unpacked, with_results
+from tickloom.llm.common import WORD, col, materialise, numbered, packed, sums_before, unpacked, with_results
 
 ROWS_PER_RANGE = 10_000
 
@@ -46,9 +46,9 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = (1, 2, 3), max_e
 def _running(df: DataFrame, group: list[str], ranges: str, value: str, order: list, out: str) -> DataFrame:
     """Running sum of ``value`` within ``group`` in the order of (ranges, order), in two levels."""
     sums = df.groupBy(*group, ranges).agg(F.sum(value).alias("range_sum"))
-    w = Window.partitionBy(*group).orderBy(ranges).rowsBetween(Window.unboundedPreceding, -1)
     keys = [*group, ranges]
-    ahead = sums.select(*[F.col(c).alias(f"of_{c}") for c in keys], F.coalesce(F.sum("range_sum").over(w), F.lit(0)).alias("ahead"))
+    sums = sums_before(sums, group, ranges, "range_sum", "ahead")
+    ahead = sums.select(*[F.col(c).alias(f"of_{c}") for c in keys], "ahead")
     joined = df.join(ahead, [F.col(c).eqNullSafe(F.col(f"of_{c}")) for c in keys]).drop(*[f"of_{c}" for c in keys])
     inner = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     return joined.withColumn(out, F.col("ahead") + F.sum(value).over(inner)).drop("ahead")
