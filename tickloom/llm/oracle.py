@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tickloom.llm.secrets import ACCESS, ALLOW, ASSIGN, ASSIGN_LEAST, CLASSES, HEX, UNLIKE_WORDS
+from tickloom.llm.secrets import ACCESS, ALLOW, ASSIGN, ASSIGN_LEAST, CLASSES, HEX, PLACEHOLDERS, UNLIKE_WORDS
 
 EXACT = r"""
 WITH n AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents),
@@ -58,12 +58,12 @@ def _quoted(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
 
-def _located(name: str, pattern: str, kind: str, rank: int, keep: str = "true") -> str:
+def _located(name: str, pattern: str, kind: str, rank: int, keep: str = "true", of: str = "d") -> str:
     return f"""{name} AS (
   SELECT doc_id, {_quoted(kind)} AS kind, {rank} AS rank, text, x.piece AS piece, x.start AS start, x.start + length(x.piece) AS stop
   FROM (SELECT doc_id, text, unnest(list_transform(range(1, len(m) + 1), lambda i: {{'piece': m[i],
       'start': list_sum(list_transform(g[1:i], lambda y: length(y))) + coalesce(list_sum(list_transform(m[1:i - 1], lambda y: length(y))), 0)}})) AS x
-    FROM (SELECT doc_id, text, regexp_extract_all(text, {_quoted(pattern)}) AS m, string_split_regex(text, {_quoted(pattern)}) AS g FROM d) WHERE len(m) > 0)
+    FROM (SELECT doc_id, text, regexp_extract_all(text, {_quoted(pattern)}) AS m, string_split_regex(text, {_quoted(pattern)}) AS g FROM {of}) WHERE len(m) > 0)
   WHERE {keep})"""
 
 
@@ -76,10 +76,14 @@ def secrets() -> str:
         _located("hex", HEX, "hex", 3),
     ]
     allowed = "|".join(f"(?:{a})" for a in ALLOW)
+    blanked = "text"
+    for word in PLACEHOLDERS:
+        blanked = f"replace({blanked}, '{word}', '{' ' * len(word)}')"
+    parts.append(f"e AS (SELECT doc_id, {blanked} AS text FROM d)")
     for rank, c in enumerate(CLASSES, 4):
         k, w = c.kind, c.window
         parts += [
-            _located(f"{k}_c", f"[{c.members}]{{{w},}}", k, rank),
+            _located(f"{k}_c", f"[{c.members}]{{{w},}}", k, rank, of="e"),
             f"""{k}_w AS (SELECT doc_id, text, start, pos, count(*) * log2(count(*)) AS part FROM (
     SELECT doc_id, text, start, pos, unnest(string_split(substring(piece, pos, {w}), '')) AS ch
     FROM (SELECT *, unnest(range(1, length(piece) - {w} + 2)) AS pos FROM {k}_c)) GROUP BY doc_id, text, start, pos, ch)""",

@@ -1,14 +1,17 @@
 """Secret scans in SQL functions only: three patterns, and the entropy of sliding windows.
 
-Candidates are maximal runs of one character class. A window slides over each; the counts of the
-characters in it change by one character that leaves and one that enters, and its entropy follows
-from the sum of c * log2(c), which changes by these two counts only. Windows above the threshold of
-the class that overlap or touch become one span. The allow-list takes added spans away, never those of the patterns.
+Candidates are maximal runs of one character class. A window slides over each and carries a count
+for every character of the class; one count falls for the character that leaves and one rises for
+that which enters, and the entropy follows from the sum of c * log2(c), which changes by these two
+counts only. Windows above the threshold of the class that overlap or touch become one span.
+The allow-list has two parts: placeholder words part a candidate, so that what stands beside them is
+still judged, and whole spans of a harmless form go. It never touches spans of the patterns.
 """
 
 from __future__ import annotations
 
 import math
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -35,13 +38,14 @@ class Entropy:
 
 #: Windows of 24 hexadecimal digits over 3.05 bits (at most 4), of 24 characters of base64 over 3.9 (at most 4.58).
 CLASSES = (Entropy("hex_entropy", "0-9A-Fa-f", 24, 3.05), Entropy("base64_entropy", "A-Za-z0-9+/_=-", 24, 3.9))
-#: Spans that aren't secrets: digits or capitals alone, UUIDs, placeholders.
+#: Spans that aren't secrets: digits or capitals alone, UUIDs.
 ALLOW = (
     r"^[0-9]+$",
     r"^[A-Z]+$",
     r"^[0-9A-Fa-f]{8}(-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}$",
-    r"EXAMPLE|example|PLACEHOLDER|placeholder|0123456789|ABCDEFGHIJKLM|abcdefghijklm",
 )
+#: Words that stand for a secret; they end a candidate as a blank does, one after the other.
+PLACEHOLDERS = ("EXAMPLE", "example", "PLACEHOLDER", "placeholder", "0123456789", "ABCDEFGHIJKLM", "abcdefghijklm")
 #: What a secret has and a path or list of words lacks: a digit, a plus, a capital after a letter.
 UNLIKE_WORDS = r"[0-9+]|[A-Za-z][A-Z]"
 
@@ -93,42 +97,58 @@ def _gains(w: int) -> Column:
     return F.array(*[F.lit(b - a) for a, b in zip(f, f[1:])])
 
 
+def alphabet(members: str) -> str:
+    """The characters of a class, in the order of code points."""
+    return "".join(c for c in map(chr, range(128)) if re.fullmatch(f"[{members}]", c))
+
+
+def _raised(counts: Column, at: Column, by: int, size: int) -> Column:
+    """Counts with the one at a place changed."""
+    return F.concat(F.slice(counts, 1, at - 1), F.array(F.element_at(counts, at) + by), F.slice(counts, at + 1, F.lit(size) - at))
+
+
 def window_spans(start: Column, piece: Column, how: Entropy) -> Column:
     """Spans of one candidate whose windows exceed the entropy: array<struct<start, end>>.
 
-    The characters are bound once, as the only element of an array, since what an aggregate carries
-    is copied at every step.
+    The characters' places in the class are bound once, as the only element of an array, since what
+    an aggregate carries is copied at every step; it carries the counts of one window only.
     """
     w = how.window
     log_w = math.log2(w)
+    members = alphabet(how.members)
+    size = len(members)
 
     def walk(chars: Column) -> Column:
-        def gain(at: Column, first: Column, size: Column) -> Column:
-            c = F.element_at(chars, at)
-            return F.element_at(_gains(w), _let(c, lambda c: F.size(F.filter(F.slice(chars, first, size), lambda x: x == c))))
-
         def step(acc: Column, i: Column) -> Column:
-            gone = F.greatest(i - w, F.lit(1))
-            enters = gain(i, F.greatest(i - w + 1, F.lit(1)), F.least(i, F.lit(w)))
-            leaves = F.when(i > w, gain(gone, gone, F.lit(w))).otherwise(F.lit(0.0))
-            return _let(acc["total"] + enters - leaves, lambda total: _let((i >= w) & (log_w - total / w > how.bits), lambda high: after(acc, i, total, high)))
+            slides = i > w
+            gone = F.element_at(chars, F.greatest(i - w, F.lit(1)))
+            leaves = F.when(slides, F.element_at(_gains(w), F.element_at(acc["counts"], gone))).otherwise(F.lit(0.0))
+            fewer = F.when(slides, _raised(acc["counts"], gone, -1, size)).otherwise(acc["counts"])
+            return _let(fewer, lambda fewer: _let(_raised(fewer, F.element_at(chars, i), 1, size), lambda counts: entered(acc, i, leaves, counts)))
+
+        def entered(acc: Column, i: Column, leaves: Column, counts: Column) -> Column:
+            enters = F.element_at(_gains(w), F.element_at(counts, F.element_at(chars, i)))
+            return _let(acc["total"] + enters - leaves, lambda total: _let((i >= w) & (log_w - total / w > how.bits), lambda high: after(acc, i, counts, total, high)))
 
-        def after(acc: Column, i: Column, total: Column, high: Column) -> Column:
+        def after(acc: Column, i: Column, counts: Column, total: Column, high: Column) -> Column:
             fresh = high & (acc["end"] < i - w)
             return F.struct(
+                counts.alias("counts"),
                 total.alias("total"),
                 F.when(fresh, i - w).otherwise(acc["start"]).cast("int").alias("start"),
                 F.when(high, i).otherwise(acc["end"]).cast("int").alias("end"),
                 F.when(fresh & (acc["end"] >= 0), closed(acc)).otherwise(acc["out"]).alias("out"),
             )
 
-        begin = F.struct(F.lit(0.0).alias("total"), F.lit(-1).alias("start"), F.lit(-1).alias("end"), F.array().cast("array<struct<start:int,end:int>>").alias("out"))
+        none = F.array_repeat(F.lit(0), size)
+        begin = F.struct(none.alias("counts"), F.lit(0.0).alias("total"), F.lit(-1).alias("start"), F.lit(-1).alias("end"), F.array().cast("array<struct<start:int,end:int>>").alias("out"))
         return F.aggregate(F.sequence(F.lit(1), F.size(chars)), begin, step, lambda acc: F.when(acc["end"] >= 0, closed(acc)).otherwise(acc["out"]))
 
     def closed(acc: Column) -> Column:
         return F.concat(acc["out"], F.array(F.struct(acc["start"].alias("start"), acc["end"].alias("end"))))
 
-    done = F.element_at(F.transform(F.array(F.split(piece, "")), walk), 1)
+    places = F.transform(F.split(piece, ""), lambda c: F.instr(F.lit(members), c))
+    done = F.element_at(F.transform(F.array(places), walk), 1)
     return F.transform(done, lambda s: F.struct((start + s["start"]).cast("int").alias("start"), (start + s["end"]).cast("int").alias("end")))
 
 
@@ -148,9 +168,13 @@ def _not_allowed(text: Column, allowed: str):
     return keep
 
 
-def entropy_spans(text: Column, classes: tuple[Entropy, ...] = CLASSES, allow: tuple[str, ...] = ALLOW) -> Column:
-    """Spans above the entropy of their class, without those that the allow-list names."""
+def entropy_spans(
+    text: Column, classes: tuple[Entropy, ...] = CLASSES, allow: tuple[str, ...] = ALLOW, placeholders: tuple[str, ...] = PLACEHOLDERS
+) -> Column:
+    """Spans above the entropy of their class, without placeholders and spans that the allow-list names."""
     allowed = "|".join(f"(?:{a})" for a in allow)
+    for word in placeholders:  # as many blanks, so that places stay
+        text = F.replace(text, F.lit(word), F.lit(" " * len(word)))
     out = []
     for rank, how in enumerate(classes, 4):
         candidates = located(text, f"[{how.members}]{{{how.window},}}")
@@ -173,16 +197,17 @@ def scan_secrets(
     columns: list[str] | None = None,
     classes: tuple[Entropy, ...] = CLASSES,
     allow: tuple[str, ...] = ALLOW,
+    placeholders: tuple[str, ...] = PLACEHOLDERS,
 ) -> DataFrame:
     """A row per input row: the ``columns`` (all by default), then base_spans and entropy_spans.
 
     Both are array<struct<kind, rank, start, end>> over code points, end exclusive. Base spans come
-    from the patterns; the allow-list never touches them. A null or empty text has none. No row meets
-    another, so ties and repeated rows are independent and nothing is shuffled. A result takes the
+    from the patterns; the allow-list never touches them. A null or empty text has none; a text is
+    scanned whole, however long, in a time that grows with it. No row meets another, so ties and repeated rows are independent and nothing is shuffled. A result takes the
     place of an input column of its name.
     """
     names = docs.columns if columns is None else columns
     text = F.coalesce(col(text_col).cast("string"), F.lit(""))
     rows = docs.select(packed(docs, names).alias("row"), text.alias("text"))
-    found = rows.select("row", pattern_spans(F.col("text")).alias("base"), entropy_spans(F.col("text"), classes, allow).alias("added"))
+    found = rows.select("row", pattern_spans(F.col("text")).alias("base"), entropy_spans(F.col("text"), classes, allow, placeholders).alias("added"))
     return with_results(found, "row", names, {"base_spans": F.col("base"), "entropy_spans": F.col("added")})
