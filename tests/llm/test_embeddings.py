@@ -106,3 +106,16 @@ def test_recall_where_few_dimensions_matter(spark):
     want = brute(list(range(3000)), x)
     got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in near_duplicates(df, columns=["vec_id"], rows_per_cell=10).collect()}
     assert sum(n for n, _ in want.values()) >= 3000 and sum(got[i] == want[i] for i in want) / len(want) > 0.99
+
+
+def test_any_number_of_lengths(spark):
+    rng = np.random.default_rng(12)
+    rows = [v for length in range(1, 61) for v in (rng.normal(size=length), -np.ones(length), np.ones(length), 3 * np.ones(length))]
+    rows += list(rng.normal(size=(200, 40)))
+    got = near_duplicates(spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(rows)], "vec_id long, embedding array<double>"), columns=["vec_id"], rows_per_cell=30)
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in got.collect()}
+    want = {}
+    for length in {len(v) for v in rows}:
+        ids = [i for i, v in enumerate(rows) if len(v) == length]
+        want |= brute(ids, np.array([rows[i] for i in ids]))
+    assert got == want

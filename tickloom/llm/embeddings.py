@@ -19,12 +19,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tickloom.config import shared_folder
 from tickloom.llm.common import col, components, materialise, packed, with_results
 
 SAMPLE = 20_000
 MOST_CENTROIDS = 512
 RESIDENTS, VISITORS = 2048, 4096
-MAX_LENGTHS = 16
 
 
 def usable(rows: DataFrame) -> DataFrame:
@@ -189,7 +189,9 @@ def near_duplicates(
     (smallest id reachable, itself included) and kept (true for one row of each component).
 
     * A vector that is null, empty, zero, or holds nulls or non-finite numbers links with nothing.
-      Vectors of different lengths are never compared (at most MAX_LENGTHS lengths are taken).
+      Vectors of different lengths are never compared. Lengths of too few vectors for a second
+      centroid are one cell each, all filed in one pass, so there may be any number of them; each
+      other length has codebooks of its own.
     * Equal vectors are one class, filed once, and count as links of each other.
     * A null id sorts after all others; component_id is null where no row has an id. Of rows that
       repeat the smallest id, one is kept.
@@ -211,11 +213,12 @@ def near_duplicates(
     known = materialise(usable(rows), "vectors")
     classes = known.where("key is not null").groupBy("key").agg(F.count("*").alias("n"), F.first("vector").alias("vector"))
     classes = materialise(classes.withColumn("length", F.size("vector")), "vector-classes")
-    lengths = classes.groupBy("length").agg(F.count("*").alias("n")).limit(MAX_LENGTHS + 1).collect()
-    if len(lengths) > MAX_LENGTHS:
-        raise ValueError(f"more than {MAX_LENGTHS} lengths of vectors")
-    found = None
-    for length, n in lengths:
+    counts = classes.groupBy("length").agg(F.count("*").alias("of_length")).withColumn("of", F.col("length")).drop("length")
+    many = counts.where(F.col("of_length") >= 4 * rows_per_cell)
+    path = shared_folder(vectors.sparkSession, "vector-links")
+    few = classes.join(many, F.col("length") == F.col("of"), "left_anti").withColumn("home", F.col("length").cast("long"))
+    compared(few.withColumn("visits", F.array("home")).drop("length"), least).write.parquet(path)
+    for length, n in many.select("of", "of_length").toLocalIterator():
         some = classes.where(F.col("length") == length).select("key", "n", "vector")
         most = 2.0 - 2.0 * least
         k = max(1, min(MOST_CENTROIDS, math.isqrt(n // rows_per_cell)))
@@ -224,11 +227,8 @@ def near_duplicates(
         reach = min(1.0, (deviations / 2.0) ** 2 * spread(x)) * most
         books = (codebook(x[:, : length // 2], k), codebook(x[:, length // 2 :], k))
         index = materialise(filed(some, books, reach * 1.000001), "vector-index")
-        part = compared(index, least)
-        found = part if found is None else found.unionByName(part)
-    if found is None:
-        found = classes.selectExpr("key", "0L links", "key label").limit(0)
-    found = materialise(found, "vector-links")
+        compared(index, least).write.mode("append").parquet(path)
+    found = vectors.sparkSession.read.schema("key binary, links long, label binary").parquet(path)
     groups = components(found.select(F.col("key").alias("a"), F.col("label").alias("b")))
     links = found.groupBy("key").agg(F.sum("links").alias("links"))
     about = classes.select("key", "n").join(links, "key", "left").join(groups.withColumnRenamed("node", "key"), "key", "left")
