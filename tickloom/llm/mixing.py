@@ -120,10 +120,13 @@ def mix(
 def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **how: object) -> DataFrame:
     """The mix itself: each document as often as it is taken, with exactly the columns of ``docs``.
 
-    The running sums see row numbers only; texts are shuffled once, to meet their decision.
+    The running sums see row numbers only. Decisions are a written table of two numbers a row, which
+    Spark broadcasts while its size on disk allows; beyond that texts are shuffled once to meet them.
+    Null texts and texts without words are never taken, a long text is taken whole, rows that repeat
+    are rows like all others, and an empty table gives an empty one.
     """
     rows = numbered(docs, "mix-documents")
     light = rows.select("uid", *[F.col("row").getField(c).alias(own) for own, c in (("_id", id_col), ("_text", text_col), ("_source", source_col))])
     taken = mix(light, "_id", "_text", "_source", ["uid"], **how).where("taken > 0")
-    times = taken.select("uid", F.expr("sequence(1, cast(taken / size as int))").alias("times"))
-    return rows.join(times, "uid").withColumn("time", F.explode("times")).select(*unpacked(docs, "row", docs.columns))
+    times = materialise(taken.select("uid", F.expr("cast(taken div size as int)").alias("times")), "mix-times")
+    return rows.join(times, "uid").withColumn("time", F.explode(F.expr("sequence(1, times)"))).select(*unpacked(docs, "row", docs.columns))
