@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import SPACES, col, materialise, packed, unpacked, with_results
+from tickloom.llm.common import SPACES, col, materialise, packed, placed, unpacked, with_results
 
 SLOTS = 4
 MAX_KICKS = 200
@@ -245,6 +245,11 @@ def exact_dedup(
 
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows that :func:`exact_dedup` keeps, with exactly the columns of ``docs``."""
-    inner = docs.select(packed(docs).alias("row"), col(id_col).alias("_id"), col(text_col).alias("_text"))
-    return exact_dedup(inner, "_id", "_text", ["row"]).where("kept").select(*unpacked(inner, "row", docs.columns))
+    """The rows that :func:`exact_dedup` keeps, with exactly the columns of ``docs``.
+
+    Digests and ids alone are written and grouped; texts are shuffled once to meet what is kept.
+    """
+    rows = placed(docs, "exact-documents")
+    light = rows.select("uid", F.col("row").getField(id_col).alias("_id"), F.col("row").getField(text_col).alias("_text"))
+    kept = exact_dedup(light, "_id", "_text", ["uid"]).where("kept").select("uid")
+    return rows.join(kept, "uid", "left_semi").select(*unpacked(rows, "row", docs.columns))

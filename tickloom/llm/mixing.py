@@ -17,7 +17,7 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import WORD, col, materialise, numbered, packed, sums_before, unpacked, with_results
+from tickloom.llm.common import WORD, col, materialise, packed, placed, sums_before, unpacked, with_results
 
 ROWS_PER_RANGE = 10_000
 
@@ -125,7 +125,7 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     Null texts and texts without words are never taken, a long text is taken whole, rows that repeat
     are rows like all others, and an empty table gives an empty one.
     """
-    rows = numbered(docs, "mix-documents")
+    rows = placed(docs, "mix-documents")
     light = rows.select("uid", *[F.col("row").getField(c).alias(own) for own, c in (("_id", id_col), ("_text", text_col), ("_source", source_col))])
     taken = mix(light, "_id", "_text", "_source", ["uid"], **how).where("taken > 0")
     times = materialise(taken.select("uid", F.expr("cast(taken div size as int)").alias("times")), "mix-times")
