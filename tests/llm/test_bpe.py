@@ -3,12 +3,13 @@ from __future__ import annotations
 import hashlib
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 
 from tests.conftest import DATA
 from tests.llm.cases import TEXTS, none, odd
-from tickloom.llm.bpe import decode, encode, read_ranks
+from tickloom.llm.bpe import blocks_of, decode, encode, read_ranks
 from tickloom.llm.queries import RANKS, bpe_digests
 
 PATTERN = public_tokenizers.PATTERN
@@ -54,3 +55,16 @@ def test_decoding_of_nulls_and_unknown_ids(spark):
     assert got == {1: None, 2: b"", 3: table[0] + table[1]}
     with pytest.raises(Exception, match="table of token bytes|out of bounds"):
         decode(spark.createDataFrame([([999999],)], "ids array<int>"), RANKS).collect()
+
+
+def test_pre_tokens_are_listed_alike_without_positions(spark):
+    lines = spark.createDataFrame([(i, f"a{i % 3} b a{i} {'c ' * (i % 5)}" if i % 7 else "") for i in range(60)], "row int, text string").coalesce(2)
+
+    def use(number, check, words, docs, row):
+        yield pa.RecordBatch.from_pylist([{"number": number, "check": check, "words": [w.decode() for w in words], "positions": sum(map(len, docs)), "n": len(row)}])
+
+    with_blocks = blocks_of(lines, PATTERN, 100)
+    schema = "number long, check long, words array<string>, positions long, n long"
+    full, light = (sorted(with_blocks(use, schema, positions=p).collect()) for p in (True, False))
+    assert [r[:3] + r[4:] for r in full] == [r[:3] + r[4:] for r in light] and len(full) > 5
+    assert all(r["positions"] for r in full) and not any(r["positions"] for r in light)

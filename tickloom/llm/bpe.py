@@ -9,8 +9,10 @@ together. Decoding joins ids with the table of token bytes.
 from __future__ import annotations
 
 import base64
+import itertools
 import math
 import zlib
+from collections import defaultdict
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -69,19 +71,24 @@ def pieces(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.Re
         pa.default_memory_pool().release_unused()
 
 
+def numbering() -> dict[str, int]:
+    """Words to numbers from 0: a word that is asked for the first time gets the next one."""
+    return defaultdict(itertools.count().__next__)
+
+
 def blocks_of(rows: DataFrame, pattern: str, block_bytes: int) -> Callable[[Callable, T.StructType], DataFrame]:
     """Cut rows (text, row) into blocks of ``block_bytes`` of text and give each to a function.
 
     Documents stay in the task that read them. The function sees the block's number, the checksum of
     its distinct pre-tokens, these in order of appearance, per document the positions of its
-    pre-tokens among them, and the rows.
+    pre-tokens among them (none of them if ``positions`` is false), and the rows.
     """
 
-    def with_blocks(use: Callable, schema: T.StructType) -> DataFrame:
+    def with_blocks(use: Callable, schema: T.StructType, positions: bool = True) -> DataFrame:
         def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             split = regex.compile(pattern).findall
             number = TaskContext.get().partitionId() << 32
-            index: dict[str, int] = {}
+            index = numbering()
             docs: list[np.ndarray] = []
             kept: list[pa.Array] = []
             size = 0
@@ -94,16 +101,20 @@ def blocks_of(rows: DataFrame, pattern: str, block_bytes: int) -> Callable[[Call
             for batch in pieces(batches):
                 texts, row, first = batch.column(0).to_pylist(), batch.column(1), 0
                 for i, text in enumerate(texts):
-                    docs.append(np.array([index.setdefault(w, len(index)) for w in split(text)], np.uint32))
+                    found = split(text)
+                    if positions:
+                        docs.append(np.fromiter(map(index.__getitem__, found), np.uint32, len(found)))
+                    else:
+                        index.update(dict.fromkeys(found))
                     size += len(text)
                     if size >= block_bytes:
                         kept.append(row.slice(first, i + 1 - first))
                         first = i + 1
                         yield from flush()
-                        number, index, docs, kept, size = number + 1, {}, [], [], 0
+                        number, index, docs, kept, size = number + 1, numbering(), [], [], 0
                 if first < len(texts):
                     kept.append(row.slice(first))
-            if docs:
+            if kept:
                 yield from flush()
 
         return rows.select("text", "row").mapInArrow(cut, schema)
@@ -147,7 +158,7 @@ def word_rows(with_blocks: Callable, buckets: int) -> DataFrame:
             types = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.int64(), pa.binary())
             yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(values, types)], [f.split()[0] for f in WORD_ROWS.split(", ")])
 
-    return with_blocks(use, WORD_ROWS)
+    return with_blocks(use, WORD_ROWS, positions=False)
 
 
 def encode_words(words: DataFrame, ranks: object, pattern: str, buckets: int) -> DataFrame:
