@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tickloom.config import shared_folder
 from tickloom.llm.bpe import decode, encode
+from tickloom.llm.common import materialise
 from tickloom.llm.exact_dedup import drop_copies
 from tickloom.llm.language import train, with_language
 from tickloom.llm.minhash import drop_near_duplicates
@@ -55,9 +56,10 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encode_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids of every document and the text that they decode to: a row per row.
 
-    A null text has no ids and decodes to an empty text.
+    A null text has no ids and decodes to an empty text. Ids are written before they are decoded, so
+    that no task holds two Python workers.
     """
-    encoded = encode(docs, RANKS, public_tokenizers.PATTERN, columns=["doc_id", "lang", "source"])
+    encoded = materialise(encode(docs, RANKS, public_tokenizers.PATTERN, columns=["doc_id", "lang", "source"]), "pipeline-ids")
     found = decode(encoded, RANKS)
     return found.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids", F.sha2("decoded", 256).alias("decoded_sha256"))
 

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import hashlib
+import re
 
 import public_tokenizers
 import pyarrow as pa
@@ -68,3 +69,19 @@ def test_pre_tokens_are_listed_alike_without_positions(spark):
     full, light = (sorted(with_blocks(use, schema, positions=p).collect()) for p in (True, False))
     assert [r[:3] + r[4:] for r in full] == [r[:3] + r[4:] for r in light] and len(full) > 5
     assert all(r["positions"] for r in full) and not any(r["positions"] for r in light)
+
+
+def test_ids_reach_python_in_parts(spark):
+    table = {i: t for t, i in read_ranks(RANKS).items()}
+    rows = [(i, None if i % 9 == 8 else [(i * 31 + j) % 5000 for j in range((0, 1, 3, 4, 5, 40, 2)[i % 7])]) for i in range(60)]
+    df = spark.createDataFrame(rows, "n int, ids array<int>").coalesce(2)
+    assert re.search(r"MapInArrow.*\n.*slice\(.*\n.*Generate explode", decode(df, RANKS)._jdf.queryExecution().optimizedPlan().toString())
+    batch = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(batch)
+    try:
+        spark.conf.set(batch, "3")
+        for part_ids, slice_ids in ((1, 1), (4, 6), (4, 1 << 18), (128, 1)):
+            got = [(r["n"], r["ids"], r["decoded"]) for r in decode(df, RANKS, slice_ids=slice_ids, part_ids=part_ids).collect()]
+            assert sorted(got) == [(n, ids, None if ids is None else b"".join(map(table.get, ids))) for n, ids in rows]
+    finally:
+        spark.conf.set(batch, before)

@@ -88,3 +88,8 @@ def test_rows_that_share_a_place_in_a_file_are_told_apart(spark, tmp_path):
         stage = dict(corpus_pipeline.STAGES)[name]
         for docs in (stored, twice, stored.unionByName(stored)):
             assert sorted(r["doc_id"] for r in stage(spark, docs, "").collect()) == list(range(6)), name
+
+
+def test_tasks_that_decode_have_one_python_worker(spark):
+    plan = corpus_pipeline.encode_bpe(spark, odd(spark), "")._jdf.queryExecution().optimizedPlan().toString()
+    assert re.findall(r"\w+In(?:Arrow|Pandas)", plan) == ["MapInArrow"]

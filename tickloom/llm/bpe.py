@@ -258,43 +258,53 @@ def encode(
     return with_results(whole, "row", names, {"ids": F.col("ids")})
 
 
-def decode(encoded: DataFrame, rank_path: str, ids_col: str = "ids", slice_ids: int = 1 << 18) -> DataFrame:
+def decode(encoded: DataFrame, rank_path: str, ids_col: str = "ids", slice_ids: int = 1 << 18, part_ids: int = 128) -> DataFrame:
     """Join ids with the table of token bytes: the rows with a column decoded, the bytes of the text.
 
     Null ids give null, no ids give no bytes; an id that the table lacks is an error. A column of the
-    name decoded is replaced. The table of token bytes is broadcast.
+    name decoded is replaced. The table of token bytes is broadcast. Spark fills Arrow batches by
+    rows, so ids go to Python in parts of ``part_ids``: a batch is small however long the texts are.
     """
     spark = encoded.sparkSession
     table = spark.sparkContext.broadcast(read_ranks(rank_path))
     names = [c for c in encoded.columns if c.lower() != "decoded"]
     rows = encoded.select(col(ids_col).cast("array<int>").alias("ids"), packed(encoded, names).alias("row"))
     schema = T.StructType([rows.schema["row"], T.StructField("decoded", T.BinaryType())])
+    parts = F.greatest(F.ceil(F.coalesce(F.size("ids"), F.lit(0)) / part_ids).cast("int"), F.lit(1))
+    cut = rows.select("ids", "row", parts.alias("parts")).withColumn("part", F.explode(F.sequence(F.lit(1), "parts")))
+    last = F.col("part") == F.col("parts")
+    cut = cut.select(F.slice("ids", (F.col("part") - 1) * part_ids + 1, F.lit(part_ids)).alias("ids"), last.alias("last"), F.when(last, F.col("row")).alias("row"))
 
     def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens: pa.Array | None = None
+        held: list[pa.Array] = []  # ids of a row whose other parts are in the next batch
         for batch in batches:
             if tokens is None:
                 by_id = {i: token for token, i in table.value.items()}
                 tokens = pa.array([by_id.get(i) for i in range(max(by_id, default=-1) + 1)], pa.binary())
-            first, held = 0, 0
-            counts = pc.fill_null(pc.list_value_length(batch.column(0)), 0).to_pylist()
-            for i, n in enumerate(counts, 1):
-                held += n
-                if held >= slice_ids or i == len(counts):
-                    yield joined(batch.slice(first, i - first), tokens)
-                    first, held = i, 0
+            ids, ends, row = batch.column(0), np.flatnonzero(batch.column(1)), batch.column(2)
+            stops = np.cumsum(pc.fill_null(pc.list_value_length(ids), 0).to_numpy(), dtype=np.int64)[ends] + sum(map(len, held))
+            held.append(ids.flatten())
+            if not len(ends):
+                continue
+            flat = pa.concat_arrays(held)
+            row, missing = row.take(pa.array(ends)), ids.is_null().take(pa.array(ends))
+            first, start = 0, 0
+            for i, stop in enumerate(stops.tolist(), 1):
+                if stop - start >= slice_ids or i == len(stops):
+                    text = joined(flat.slice(start, stop - start), stops[first:i] - start, tokens)
+                    text = pc.if_else(missing.slice(first, i - first), pa.scalar(None, pa.binary()), text)
+                    yield pa.RecordBatch.from_arrays([row.slice(first, i - first), text], ["row", "decoded"])
+                    first, start = i, stop
+            held = [flat.slice(start)]
             pa.default_memory_pool().release_unused()
 
-    def joined(batch: pa.RecordBatch, tokens: pa.Array) -> pa.RecordBatch:
-        ids = batch.column(0)
-        flat = tokens.take(ids.flatten())
+    def joined(ids: pa.Array, ends: np.ndarray, tokens: pa.Array) -> pa.Array:
+        flat = tokens.take(ids)
         if flat.null_count:
             raise ValueError("an id is not in the table of token bytes")
-        counts = pc.fill_null(pc.list_value_length(ids), 0).to_numpy()
-        offsets = pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32))
-        text = pc.binary_join(pa.ListArray.from_arrays(offsets, flat), b"")
-        text = pc.if_else(pc.is_null(ids), pa.scalar(None, pa.binary()), text)
-        return pa.RecordBatch.from_arrays([batch.column(1), text], ["row", "decoded"])
+        offsets = pa.array(np.concatenate([[0], ends]).astype(np.int32))
+        return pc.binary_join(pa.ListArray.from_arrays(offsets, flat), b"")
 
-    done = rows.mapInArrow(look_up, schema)
+    done = cut.mapInArrow(look_up, schema)
     return with_results(done, "row", names, {"decoded": F.col("decoded")})
